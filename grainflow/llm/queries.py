@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .history import refused
 from .near_dups import class_ids, id_pairs, near_duplicates
 
 
@@ -24,6 +25,11 @@ def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.col("key").alias("id"), "cls", "copies", "links")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch, clean = table(spark, sf_dir, "batch_docs"), table(spark, sf_dir, "clean_docs")
+    return refused(batch, clean, "seq", ["batch_no", "seq"], "text", "id", 0.5)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
