@@ -9,12 +9,25 @@ from pyspark.sql import functions as F
 
 from .history import refused
 from .near_dups import class_ids, id_pairs, near_duplicates
+from .reading_level import reading_levels, train
+from .text_quality import not_prose, reference, sketches, text_stats, with_flags
+from ..session import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def p1_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, labels = table(spark, sf_dir, "raw_docs"), table(spark, sf_dir, "judge_labels")
+    got = reading_levels(raw, "id", "text", train(raw, "text", labels, "doc_id", "text", "edu_score"))
+    return got.withColumnRenamed("key", "id")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_levels(spark, sf_dir).where("level >= 4 and tokens >= 40").select("id").distinct()
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = table(spark, sf_dir, "raw_docs")
     return id_pairs(near_duplicates(raw, "id", "text", 0.5))
@@ -30,6 +43,19 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refused(batch, clean, "seq", ["batch_no", "seq"], "text", "id", 0.5)
 
 
+def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = stored(text_stats(table(spark, sf_dir, "raw_docs"), "id", "text"), "stats")
+    return with_flags(stats, reference(sketches(stats))).withColumnRenamed("key", "id")
+
+
+def p4_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality(spark, sf_dir)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return not_prose(_quality(spark, sf_dir)).select("id").distinct()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
