@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .history import refused
 from .near_dups import class_ids, id_pairs, near_duplicates
+from .neighbours import nearest, similar_pairs
 from .reading_level import reading_levels, train
 from .text_quality import not_prose, reference, sketches, text_stats, with_flags
 from ..session import stored
@@ -56,6 +57,14 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return not_prose(_quality(spark, sf_dir)).select("id").distinct()
 
 
+def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "doc_rows"), "id", "emb")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_pairs(p5_neighbours(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
