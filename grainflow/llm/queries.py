@@ -11,6 +11,7 @@ from .history import refused
 from .near_dups import class_ids, id_pairs, near_duplicates
 from .neighbours import nearest, similar_pairs
 from .reading_level import reading_levels, train
+from .subjects import document_subjects
 from .text_quality import not_prose, reference, sketches, text_stats, with_flags
 from ..session import stored
 
@@ -65,6 +66,19 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_pairs(p5_neighbours(spark, sf_dir))
 
 
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")
+    return document_subjects(docs, "doc_id", "text", labels, "doc_id", "subject", "annotator").withColumnRenamed("key", "doc_id")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_shares(spark, sf_dir).select("doc_id", "subject").distinct()
+
+
+def p8_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_shares(spark, sf_dir).groupBy("subject").agg(F.count("*").alias("documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 
