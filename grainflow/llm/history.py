@@ -69,8 +69,8 @@ def refused(batch: DataFrame, history: DataFrame, key: str, order: list[str], te
     and refuse nothing. Only texts count, not ids. Ties in the order are broken by key. An empty
     batch gives no rows; an empty history checks the batch against itself.
     """
-    b_prints = stored(fingerprints(batch, key, text), "batch")
-    h_prints = stored(fingerprints(history, history_key, text), "history")
+    b_prints = stored(fingerprints(batch, key, text).drop("sig"), "batch")
+    h_prints = stored(fingerprints(history, history_key, text).drop("sig"), "history")
     new, old = _nodes(b_prints), _nodes(h_prints)
     likely = stored(
         _likely(new, old, threshold).withColumn("side", F.lit(1)).unionByName(_likely(new, None, threshold).withColumn("side", F.lit(0))),
@@ -144,7 +144,7 @@ class History:
     def check(self, batch: DataFrame, key: str, text: str, order: list[str]) -> DataFrame:
         """key of the rows of the batch to be refused."""
         old = self.spark.read.parquet(f"{self.path}/pivots")
-        b_prints = stored(fingerprints(batch, key, text), "batch")
+        b_prints = stored(fingerprints(batch, key, text).drop("sig"), "batch")
         new = _nodes(b_prints)
         likely = stored(_likely(new, old, self.threshold), "likely")
         sets = shingle_sets(batch, key, text).select(F.col("cls").alias("a"), F.col("set").alias("set_a")).dropDuplicates(["a"])
