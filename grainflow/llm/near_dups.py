@@ -73,7 +73,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     once; if a key has several texts, each counts. A null key is a key like any other. Three stages
     are written to the shared folder: fingerprints, surviving pairs and verified pairs.
     """
-    prints = stored(fingerprints(df, key, text), "prints")
+    prints = stored(fingerprints(df, key, text).drop("slices"), "prints")
     members = prints.select("key", "cls").distinct()
     # one row per class: the copies are few or many, but the rows that are no representative are
     # named in a table of their own, which the planner broadcasts only if it is small
