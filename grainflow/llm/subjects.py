@@ -24,8 +24,8 @@ from ._prose import COMMON, ENTITY, TAG, prose_units, repeated_share, words_of
 from .reading_level import word_counts
 
 MAX_TERMS, LEAST_DOCS, MOST_SHARE = 50_000, 3, 0.1
-ROUNDS, SEED_WEIGHT, PRIOR = 2, 3.0, 2.0
-AGREE, OTHER, HINT = 0.55, 0.45, 0.3
+ROUNDS, SEED_WEIGHT, PRIOR = 3, 2.0, 1.5
+AGREE, OTHER, HINT, LIFT = 0.6, 0.45, 0.3, 3.0
 SHARE = 0.18
 RUN = 15  # words of a stretch that stands for a sentence where there is no sentence end
 BREAK = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n\s*\n|\n(?=[^\s:]{1,24}:\s)")
@@ -116,9 +116,10 @@ def verified_terms(edges: DataFrame, known: DataFrame) -> DataFrame:
     got = edges.join(known, "key").groupBy("term", "subjects").agg(F.sum("weight").alias("w"))  # sets of subjects are few
     n = got.groupBy("term").agg(F.sum("w").alias("n"))
     c = got.select("term", "w", F.explode("subjects").alias("subject")).groupBy("term", "subject").agg(F.sum("w").alias("c"))
-    p = c.join(n, "term").join(base, "subject").select("term", "subject", ((F.col("c") + PRIOR * F.col("base")) / (F.col("n") + PRIOR)).alias("p"))
-    top = p.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("p", "subject")), asc=False).alias("by"))  # an entry per subject
-    sure = (F.col("by")[0]["p"] >= AGREE) & (F.coalesce(F.get("by", F.lit(1))["p"], F.lit(0.0)) <= OTHER)
+    p = c.join(n, "term").join(base, "subject").select("term", "subject", "base", ((F.col("c") + PRIOR * F.col("base")) / (F.col("n") + PRIOR)).alias("p"))
+    top = p.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("p", "subject", "base")), asc=False).alias("by"))  # an entry per subject
+    # a subject that many documents have must stand out the more, or words of all subjects would drift to it
+    sure = (F.col("by")[0]["p"] >= F.greatest(F.lit(AGREE), LIFT * F.col("by")[0]["base"])) & (F.coalesce(F.get("by", F.lit(1))["p"], F.lit(0.0)) <= OTHER)
     top = top.withColumn("sure", sure).select("term", "sure", F.explode("by").alias("x"))
     return top.select("term", "sure", F.col("x.subject").alias("subject"), F.col("x.p").alias("p")).where(F.col("p") >= HINT)
 
@@ -135,7 +136,7 @@ def inferred(edges: DataFrame, terms: DataFrame) -> DataFrame:
 def propagate(edges: DataFrame, seed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """The verified terms after some rounds. A seed is trusted as long as the graph doesn't say
     something else altogether; trusted seeds stay clamped and weigh SEED_WEIGHT documents."""
-    start = seed.withColumn("weight", F.lit(SEED_WEIGHT))
+    start = seed.withColumn("weight", F.lit(1.0))
     terms = stored(verified_terms(edges, start), "terms")
     for _ in range(rounds):
         got = stored(inferred(edges, terms), "inferred")
