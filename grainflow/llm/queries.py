@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .history import refused
+from .mixing import actual_shares, source_mix
 from .near_dups import class_ids, id_pairs, near_duplicates
 from .neighbours import nearest, similar_pairs
+from .packing import containers
 from .reading_level import reading_levels, train
 from .subjects import document_subjects
 from .text_quality import not_prose, reference, sketches, text_stats, with_flags
@@ -66,6 +68,27 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_pairs(p5_neighbours(spark, sf_dir))
 
 
+def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containers(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
+
+
+def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = table(spark, sf_dir, "pack_specs").select("spec_id", "capacity_tokens")
+    each = p6_containers(spark, sf_dir).groupBy("spec_id", "container").agg(F.max("fill").alias("fill"))
+    x = each.join(specs, "spec_id").groupBy("spec_id", "capacity_tokens").agg(F.count("*").alias("containers"), F.sum("fill").alias("tokens"))
+    return x.withColumn("filled", F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")))
+
+
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    return source_mix(docs, "doc_id", "text", "source", targets).withColumnRenamed("key", "doc_id")
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = stored(p7_mix(spark, sf_dir), "mix")
+    return actual_shares(mix, table(spark, sf_dir, "mix_targets"))
+
+
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")
     return document_subjects(docs, "doc_id", "text", labels, "doc_id", "subject", "annotator").withColumnRenamed("key", "doc_id")
