@@ -91,11 +91,14 @@ def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0
     rows = stored(usable_vectors(df, key, emb, dim), "vectors")
     # copies: all their ids, and for each distinct vector its k + 1 smallest ids (no more can be named)
     members = rows.select("h", "key").distinct()
-    ranked = members.groupBy("h").agg(F.count("*").alias("n"))
+    ranked = rows.groupBy("h").agg(F.count("*").alias("n"))
     copied = stored(ranked.where("n > 1").select("h"), "copied")
     w = _smallest(members.join(copied, "h", "left_semi"), k + 1)
-    nodes = rows.join(copied, "h", "left_anti").select("h", "v").unionByName(rows.join(copied, "h", "left_semi").select("h", "v")).dropDuplicates(["h"])
-    picked = nodes.orderBy(F.xxhash64("h"), "h").limit(points).select("v").toPandas()["v"]
+    # only the copies are shuffled with their vectors
+    nodes = rows.join(copied, "h", "left_anti").select("h", "v").unionByName(rows.join(copied, "h", "left_semi").select("h", "v").dropDuplicates(["h"]))
+    share = 4 * points / max(1, ranked.count())  # so that each task sends a few candidates, not `points`
+    few = nodes.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share)))
+    picked = few.orderBy(F.xxhash64("h"), "h").limit(points).select("v").toPandas()["v"]
     if not len(picked):
         return spark.createDataFrame([], f"id {rows.schema['key'].dataType.simpleString()}, neighbour {rows.schema['key'].dataType.simpleString()}, cosine double, rank int")
     tree = Tree(unit(picked, dim), min(shards, len(picked)))
@@ -227,10 +230,11 @@ def _per_group(f):  # noqa: ANN001, ANN202
 
 def _best_pairs(found: DataFrame, k: int) -> DataFrame:
     """Of the shards' answers, those that may be among the best k: all with at least the k-th cosine."""
-    kth = found.groupBy("a").agg(F.sort_array(F.collect_list("cosine"), asc=False).alias("all"))
     # at most k and ties per shard; get() gives null where there are fewer than k
-    kth = kth.select(F.col("a").alias("a2"), F.coalesce(F.get("all", F.lit(k - 1)), F.lit(-2.0)).alias("least"))
-    return found.join(kth, found["a"] == kth["a2"]).where("cosine >= least").select("a", "b", "cosine")
+    x = found.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("cosine", "b")), asc=False).alias("all"))
+    least = F.coalesce(F.get("all", F.lit(k - 1))["cosine"], F.lit(-2.0))
+    x = x.select("a", F.explode(F.filter("all", lambda v: v["cosine"] >= least)).alias("v"))
+    return x.select("a", F.col("v.b").alias("b"), F.col("v.cosine").alias("cosine"))
 
 
 def _expanded(best: DataFrame, members: DataFrame, smallest: DataFrame, copied: DataFrame, k: int) -> DataFrame:
