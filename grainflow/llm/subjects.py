@@ -31,9 +31,9 @@ RUN = 15  # words of a stretch that stands for a sentence where there is no sent
 BREAK = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n\s*\n|\n(?=[^\s:]{1,24}:\s)")
 
 
-def sentences(text: str) -> list[list[str]]:
-    """Words of each sentence of three words or more among the connected sentences."""
-    us, ok = prose_units(text)
+def sentences(text: str, us: list, ok: list[bool]) -> list[list[str]]:
+    """Words of each sentence of three words or more among the connected sentences; us and ok as
+    prose_units() gives them."""
     lines, k = [], 0
     if all(o for u, o in zip(us, ok, strict=True) if u[0]):
         kept = text
@@ -82,11 +82,11 @@ def term_rows(df: DataFrame, key: str, text: str, terms: dict[str, int]) -> Data
         us, ok = prose_units(text)
         chars = sum(u[0] for u in us)
         prose = sum(u[0] for u, k in zip(us, ok, strict=True) if k)
-        if not chars or prose / chars - repeated_share(text) < 0.5:
+        if not chars or prose < 0.5 * chars or prose / chars - repeated_share(text) < 0.5:
             return None
         get = sent.value.get
         seq: list[int] = []
-        for s in sentences(text):
+        for s in sentences(text, us, ok):
             seq.append(0)
             seq += [t for w in s if (t := get(w)) is not None]
         return seq or None
