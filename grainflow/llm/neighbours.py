@@ -1,6 +1,6 @@
 """Most similar vectors for every vector, by vantage-point trees per shard.
 
-A sample of the vectors are vantage points: the first SHARDS of them own the shards, all of them the
+A sample of the vectors are vantage points: the first of them own the shards, all of them the
 cells, and each cell belongs to the shard of its vantage point (a tree of two many-way levels). Each
 vector is stored in the cell of its nearest vantage point. A query visits a cell only if the triangle
 inequality leaves room for a vector within the search radius: with angles as the metric, it needs
@@ -23,10 +23,11 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 
-DIM, SHARDS, POINTS = 256, 32, 1024
-RELAX = 8.0
-#: data rows of a shard that one task compares at a time; a larger shard is cut into slices
-SLICE = 8192
+DIM, RELAX = 256, 8.0
+#: data rows of a shard that one task compares; a larger shard, as in a dense area, is cut into slices
+SLICE = 65_536
+#: least and most vantage points and shards; in between they grow with the number of vectors
+POINTS, SHARDS = (1024, 16_384), (16, 2048)
 
 
 def usable_vectors(df: DataFrame, key: str, emb: str, dim: int = DIM) -> DataFrame:
@@ -63,7 +64,7 @@ def angle(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Tree:
     """Vantage points, the shard of each, and (once known) the radius of each cell."""
 
-    def __init__(self, points: np.ndarray, shards: int = SHARDS) -> None:
+    def __init__(self, points: np.ndarray, shards: int) -> None:
         self.points = points
         self.shard = angle(points, points[:shards]).argmin(1)
         self.radius = np.full(len(points), np.pi)
@@ -73,19 +74,20 @@ class Tree:
         at = d.argmin(1)
         return d, at, d[np.arange(len(x)), at]
 
-    def visits(self, x: np.ndarray, reach: float, relax: float) -> np.ndarray:
-        """(queries, cells): whether a query visits a cell."""
-        d, _, near = self.home(x)
+    def visits(self, x: np.ndarray, reach: float, relax: float) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, cells): whether a query visits a cell; and each query's own cell."""
+        d, at, near = self.home(x)
         lower = np.maximum(d - self.radius, (d - near[:, None]) / 2)
-        return (lower <= reach / relax) | (d <= reach)
+        return (lower <= reach / relax) | (d <= reach), at
 
 
-def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0.7, relax: float = RELAX, dim: int = DIM, points: int = POINTS, shards: int = SHARDS) -> DataFrame:
+def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0.7, relax: float = RELAX, dim: int = DIM, points: int | None = None, shards: int | None = None) -> DataFrame:
     """id, neighbour, cosine, rank: for each usable vector the k most similar others of cosine
     min_cosine or more (ties: the smaller id), fewer where there aren't k. A key with several
     different vectors is a vector each, without links to itself. No usable vector gives no rows.
 
-    The tree is fitted on at most `points` vectors, chosen by their hash; all vectors are indexed.
+    The tree is fitted on `points` vectors, chosen by their hash: eight per shard, within POINTS; a
+    shard is half a SLICE of vectors, within SHARDS. All vectors are indexed.
     """
     spark = df.sparkSession
     rows = stored(usable_vectors(df, key, emb, dim), "vectors")
@@ -96,7 +98,10 @@ def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0
     w = _smallest(members.join(copied, "h", "left_semi"), k + 1)
     # only the copies are shuffled with their vectors
     nodes = rows.join(copied, "h", "left_anti").select("h", "v").unionByName(rows.join(copied, "h", "left_semi").select("h", "v").dropDuplicates(["h"]))
-    share = 4 * points / max(1, ranked.count())  # so that each task sends a few candidates, not `points`
+    n = ranked.count()
+    shards = shards or min(SHARDS[1], max(SHARDS[0], 2 * n // SLICE))
+    points = points or min(POINTS[1], max(POINTS[0], 8 * shards))
+    share = 4 * points / max(1, n)  # so that each task sends a few candidates, not `points`
     few = nodes.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share)))
     picked = few.orderBy(F.xxhash64("h"), "h").limit(points).select("v").toPandas()["v"]
     if not len(picked):
@@ -108,7 +113,7 @@ def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0
     filled = {r["cell"] for r in placed.select("cell").distinct().collect()}
     tree.radius[[c for c in range(len(tree.points)) if c not in filled]] = -np.inf
     reach = float(np.arccos(min_cosine))
-    found = _search(placed, tree, k, min_cosine, reach, relax, dim)
+    found = _search(nodes, placed, tree, k, min_cosine, reach, relax, dim)
     best = _best_pairs(found, k)
     return _expanded(best, members, w, copied, k)
 
@@ -127,12 +132,12 @@ def _placed(nodes: DataFrame, tree: Tree, dim: int) -> DataFrame:
         for b in batches:
             if b.num_rows:
                 _, at, far = sent.value.home(unit(b.column(1).to_pylist(), dim))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at.astype(np.int32)), pa.array(far.astype(np.float64))], names=["h", "v", "cell", "far"])
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(far.astype(np.float64))], names=["cell", "far"])
 
-    return nodes.select("h", "v").mapInArrow(run, "h bigint, v binary, cell int, far double")
+    return nodes.select("h", "v").mapInArrow(run, "cell int, far double")
 
 
-def _search(placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: float, relax: float, dim: int) -> DataFrame:
+def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: float, relax: float, dim: int) -> DataFrame:
     """a, b, cosine: the best k of each query a within each shard slice."""
     sent = placed.sparkSession.sparkContext.broadcast(tree)
     sizes = dict(placed.select("cell").groupBy("cell").count().collect())  # a number per vantage point
@@ -147,11 +152,12 @@ def _search(placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: flo
         for b in batches:
             if not b.num_rows:
                 continue
-            h, cell = b.column(0).to_numpy(), b.column(2).to_numpy()
+            h = b.column(0).to_numpy()
             x = unit(b.column(1).to_pylist(), dim)
             out = np.zeros((len(x), len(slices)), bool)
+            cell = np.empty(len(x), np.int64)
             for lo in range(0, len(x), 2000):
-                seen = t.visits(x[lo : lo + 2000], reach, relax)
+                seen, cell[lo : lo + 2000] = t.visits(x[lo : lo + 2000], reach, relax)
                 for s in range(len(slices)):
                     out[lo : lo + 2000, s] = seen[:, t.shard == s].any(1)
             own = t.shard[cell]
@@ -191,7 +197,7 @@ def _search(placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: flo
             for lo in range(0, b.num_rows, 1024):
                 part = b.slice(lo, 1024)
                 qh, qx = part.column(2).to_numpy(), unit(part.column(3).to_pylist(), dim)
-                seen = t.visits(qx, reach, relax)
+                seen, _ = t.visits(qx, reach, relax)
                 hits_q, hits_d, hits_s = [], [], []
                 for i in range(len(starts) - 1):
                     q = np.flatnonzero(seen[:, cells[starts[i]]])
@@ -214,7 +220,7 @@ def _search(placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: flo
                 ok = s >= kth
                 yield pa.RecordBatch.from_arrays([pa.array(qh[a[ok]]), pa.array(dh[d[ok]]), pa.array(s[ok])], names=["a", "b", "cosine"])
 
-    routed = placed.select("h", "v", "cell").mapInArrow(route, "place bigint, cell int, h bigint, v binary")
+    routed = nodes.select("h", "v").mapInArrow(route, "place bigint, cell int, h bigint, v binary")
     return routed.groupBy("place").applyInArrow(_per_group(compare), "a bigint, b bigint, cosine double")
 
 
