@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .text import col, crc_set
 
 # fixed values: the prime, the value of an empty text, and the seed of the permutations
 PRIME, EMPTY, SEED = 4294967291, 4294967295, 42
@@ -37,28 +37,38 @@ def from_json(text: str) -> Permutations:
     return Permutations(tuple(x["a"]), tuple(x["b"]), x["shingle_size"])
 
 
-def signature(crcs: Column | str, p: Permutations | None = None) -> Column:
+def minima(h, p: Permutations) -> np.ndarray:  # noqa: ANN001
     """The minimum of (a h + b) mod PRIME over the shingles h, per permutation; EMPTY without shingles."""
-    p = p or permutations()
+    if h is None or not len(h):
+        return np.full(len(p.a), EMPTY, np.int64)
     a, b = np.array(p.a, np.uint64)[:, None], np.array(p.b, np.uint64)[:, None]
+    h = np.asarray(h, np.uint64)
+    parts = [((a * h[lo : lo + 4096] + b) % np.uint64(PRIME)).min(1) for lo in range(0, len(h), 4096)]
+    return np.minimum.reduce(parts).astype(np.int64)
+
 
-    def one(h) -> np.ndarray:  # noqa: ANN001
-        if h is None or not len(h):
-            return np.full(len(a), EMPTY, np.int64)
-        h = np.asarray(h, np.uint64)
-        best = None
-        for lo in range(0, len(h), 4096):
-            m = ((a * h[lo : lo + 4096] + b) % np.uint64(PRIME)).min(1)
-            best = m if best is None else np.minimum(best, m)
-        return best.astype(np.int64)
+def signature(crcs: Column | str, p: Permutations | None = None) -> Column:
+    """minima() of a column of shingles."""
+    p = p or permutations()
 
     @F.pandas_udf("array<bigint>")
     def sig(s: pd.Series) -> pd.Series:
-        return s.map(one)
+        return s.map(lambda h: minima(h, p))
 
     return sig(col(crcs))
 
 
+def text_signature(text: Column | str, p: Permutations | None = None) -> Column:
+    """The signature of a text, without its shingles leaving Python."""
+    p = p or permutations()
+
+    @F.pandas_udf("array<bigint>")
+    def sig(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: minima(crc_set(t, p.shingle_size), p))
+
+    return sig(col(text))
+
+
 def jaccard_estimate(x: Column | str, y: Column | str) -> Column:
     """Share of equal minima."""
     same = F.filter(F.zip_with(col(x), col(y), lambda u, v: u == v), lambda e: e)

@@ -119,24 +119,30 @@ def with_surface(pairs: DataFrame, df: DataFrame, seq: str, sig: str | None) ->
 def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
     """i, neighbour, dedup_similarity of the rejected documents, from pairs (i, j, sim, surface) j < i.
 
-    Of neighbours with equal cosine the earliest counts. Rounds are as many as the longest chain."""
-    open_ = stored(pairs.where(F.col("sim") >= threshold), "pairs")
+    Of neighbours with equal cosine the earliest counts. A document without a pair that could reject
+    it is kept whatever its neighbours are, and a neighbour known to be kept hides all less similar
+    ones; so a round settles all but the documents whose nearest candidates are themselves in doubt,
+    and the rounds are as many as the longest chain of such doubts.
+    """
+    open_ = pairs.where(F.col("sim") >= threshold).withColumn("kill", F.coalesce(F.col("surface") >= surface, F.lit(True)))
+    open_ = stored(open_.select("i", "j", (-F.col("sim")).alias("far"), "kill"), "pairs")
     kind = open_.schema["i"].dataType.simpleString()
     out = open_.sparkSession.createDataFrame([], f"i {kind}, neighbour {kind}, dedup_similarity double")
-    while not open_.isEmpty():
-        # settled: j that have no open pairs of their own, and among them those known to be kept
-        late = open_.select(F.col("i").alias("j")).distinct()
-        waiting = open_.join(late, "j", "left_semi").select("i").distinct()
-        ready = open_.join(waiting, "i", "left_anti")
-        best = ready.groupBy("i").agg(F.min(F.struct((-F.col("sim")).alias("far"), "j", "surface")).alias("b"))
-        decided = best.select("i", F.col("b.j").alias("neighbour"), (-F.col("b.far")).alias("dedup_similarity"), (F.coalesce(F.col("b.surface") >= surface, F.lit(True))).alias("gone"))
-        decided = stored(decided, "decided")
-        gone = decided.where("gone").drop("gone")
-        out = stored(out.unionByName(gone), "rejected")
-        # a rejected document is no neighbour; a settled one has no open pairs
-        rest = open_.join(decided.select("i"), "i", "left_anti").join(gone.select(F.col("i").alias("j")), "j", "left_anti")
-        open_ = stored(rest, "pairs")
-    return out
+    own = Window.partitionBy("i")
+    while True:
+        doubt = open_.where("kill").select("i").distinct()
+        x = open_.join(doubt, "i", "left_semi").join(doubt.select(F.col("i").alias("j"), F.lit(True).alias("open")), "j", "left")
+        place = F.struct("far", "j")
+        x = x.withColumn("best", F.min(F.when(F.col("open").isNull(), place)).over(own)).where(F.col("best").isNull() | (place <= F.col("best")))
+        x = x.withColumn("waits", F.max(F.coalesce("open", F.lit(False))).over(own)).withColumn("risk", F.max("kill").over(own))
+        x = stored(x.select("i", "j", "far", "kill", "waits", "risk"), "round")
+        gone = x.where("kill and not waits")  # what is left of such a document is its nearest kept neighbour
+        out = out.unionByName(gone.select("i", F.col("j").alias("neighbour"), (-F.col("far")).alias("dedup_similarity")))
+        left = x.where("waits and risk")
+        if left.isEmpty():
+            return out
+        # a rejected document is no neighbour
+        open_ = left.join(gone.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j", "far", "kill")
 
 
 def online_dedup(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: str | None = None, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:

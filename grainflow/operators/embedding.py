@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 from ..config import DEFAULT
 from ..functions.text import cache_key
@@ -48,7 +49,7 @@ def embed(df: DataFrame, text: str, provider: Provider = hashing_provider, dim:
     import time
 
     at = df.columns.index(text)
-    schema = df.schema.add("embedding", "array<float>")
+    schema = StructType([*df.schema.fields, StructField("embedding", ArrayType(FloatType()))])
 
     def call(texts: list[str]) -> np.ndarray:
         for k in range(retries):

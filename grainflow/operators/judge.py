@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import first_chars
 from .sampling import batches
@@ -35,7 +36,7 @@ def asked(prompt_rows: DataFrame, judge: Judge, pause_s: float = 0.0) -> DataFra
     """prompt_rows with `reply`; one task asks, with a pause between calls, as the judge's rate is limited."""
     import time
 
-    schema = prompt_rows.schema.add("reply", "string")
+    schema = StructType([*prompt_rows.schema.fields, StructField("reply", StringType())])
     at = prompt_rows.columns.index("prompt")
 
     def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -59,7 +59,7 @@ def train(df: DataFrame, emb: str, label: str = "y", max_iter: int = 1000) -> Qu
     total = sum(n.values())
     weight = F.when(F.col(label) == 1, total / (2 * n[1])).otherwise(total / (2 * n[0]))
     x = df.select(array_to_vector(F.transform(emb, lambda v: v.cast("double"))).alias("features"), F.col(label).cast("double").alias("label"), weight.alias("w"))
-    lr = LogisticRegression(weightCol="w", regParam=1.0 / total, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-9)
+    lr = LogisticRegression(weightCol="w", regParam=1.0 / total, elasticNetParam=0.0, standardization=False, maxIter=max_iter, tol=1e-7)
     m = lr.fit(x)
     coef = [float(c) for c in m.coefficients]
     return QualityModel(coef, float(m.intercept), len(coef))

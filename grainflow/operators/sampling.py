@@ -69,8 +69,8 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.75, s
     60-bit hash, a row per label, so no label is gathered into one task."""
     h = F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("long")
     x = df.withColumn("_h", h)
-    cut = x.groupBy(label).agg(F.count("*").alias("_n"), F.expr(f"percentile_approx(_h, {share}, 100000)").alias("_cut"))
-    return x.join(F.broadcast(cut), x[label].eqNullSafe(cut[label])).select(*(x[c] for c in df.columns), F.when(F.col("_h") <= F.col("_cut"), "train").otherwise("test").alias("part"))
+    cut = x.groupBy(F.col(label).alias("_label")).agg(F.expr(f"percentile_approx(_h, {share}, 100000)").alias("_cut"))
+    return x.join(cut, F.col(label).eqNullSafe(F.col("_label"))).select(*df.columns, F.when(F.col("_h") <= F.col("_cut"), "train").otherwise("test").alias("part"))
 
 
 def weighted_choice(u: Column, choices: list[tuple[str, float]]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, CurationConfig
 from ..functions import text as T
 from ..functions.langid import TELLING, language
-from ..functions.minhash import band_key, jaccard_estimate, md5_route, permutations, signature
+from ..functions.minhash import band_key, jaccard_estimate, md5_route, permutations, text_signature
 from ..functions.vectors import cosine, decode_f32, is_vector
 from ..operators import evaluation, inject, judge, metrics, sampling
 from ..operators.dedup import cosine_pairs, first_by, nearest_prior, online_dedup
@@ -58,9 +58,9 @@ _RULES = f"""
   ruled AS (SELECT seq, id, t,
     n < 200 AS too_short, n > 100000 AS too_long,
     CASE WHEN n = 0 THEN false ELSE symbols::DOUBLE / n > 0.10 END AS symbol_ratio,
-    list_sum(list_transform(ls, x -> length(x)))::DOUBLE / len(ls) < 20 AS short_lines,
+    list_sum(list_transform(ls, lambda x: length(x)))::DOUBLE / len(ls) < 20 AS short_lines,
     {" OR ".join(f"contains(lower(t), '{b}')" for b in BOILERPLATE)} AS boilerplate FROM measured),"""
-_COUNTS = ", ".join(f"len(list_filter(w, x -> x IN ({', '.join(repr(x) for x in v)}))) AS n_{k}" for k, v in TELLING.items())
+_COUNTS = ", ".join(f"len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in v)}))) AS n_{k}" for k, v in TELLING.items())
 _LANG = "CASE WHEN greatest(n_en, n_fr, n_de, n_es) = 0 THEN 'und' WHEN n_en >= n_fr AND n_en >= n_de AND n_en >= n_es THEN 'en' WHEN n_fr >= n_de AND n_fr >= n_es THEN 'fr' WHEN n_de >= n_es THEN 'de' ELSE 'es' END"
 _REASONED = f"""{_RULES}
   counted AS (SELECT *, {_COUNTS} FROM (SELECT *, string_split_regex(lower(t), '{WS}+') AS w FROM ruled)),
@@ -88,7 +88,7 @@ def arrivals(spark: SparkSession, d: str) -> DataFrame:
 
 
 def with_signature(df: DataFrame) -> DataFrame:
-    return df.withColumn("sig", signature(T.shingle_crcs("text")))
+    return df.withColumn("sig", text_signature("text"))
 
 
 def embedded_arrivals(spark: SparkSession, d: str) -> DataFrame:
@@ -160,7 +160,7 @@ def h7_reasons(spark, d):  # noqa: ANN001, ANN201
 @query(f"""WITH base AS (SELECT seq, text AS t, string_split_regex(text, '{LE}') AS l FROM raw_docs WHERE text IS NOT NULL),
   m AS (SELECT seq, t, {_LINES} AS ls FROM base)
   SELECT seq, length(t) AS chars, CASE WHEN length(t) = 0 THEN 0.0 ELSE round({_SYMBOLS}::DOUBLE / length(t), 9) END AS symbols, len(ls) AS lines,
-    round(list_sum(list_transform(ls, x -> length(x)))::DOUBLE / len(ls), 9) AS mean_line FROM m""")
+    round(list_sum(list_transform(ls, lambda x: length(x)))::DOUBLE / len(ls), 9) AS mean_line FROM m""")
 def t1_t4_measures(spark, d):  # noqa: ANN001, ANN201
     return raw(spark, d).where("text is not null").select(
         "seq",
@@ -176,9 +176,9 @@ def t7_t8_truncations(spark, d):  # noqa: ANN001, ANN201
     return raw(spark, d).where("text is not null").select("seq", F.md5(T.first_chars("text", 2000).cast("binary")).alias("head"), F.md5(T.first_share("text").cast("binary")).alias("most"))
 
 
-@query(f"""WITH b AS (SELECT seq, list_filter(string_split_regex(lower(text), '{WS}+'), x -> x <> '') AS w FROM raw_docs WHERE text IS NOT NULL),
+@query(f"""WITH b AS (SELECT seq, list_filter(string_split_regex(lower(text), '{WS}+'), lambda x: x <> '') AS w FROM raw_docs WHERE text IS NOT NULL),
   g AS (SELECT seq, len(w) AS words, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END AS s FROM b)
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END AS s FROM b)
   SELECT seq, words, len(list_distinct(s)) AS shingles FROM g""")
 def t11_shingles(spark, d):  # noqa: ANN001, ANN201
     x = raw(spark, d).where("text is not null")
@@ -257,7 +257,7 @@ def e1_embed(spark, d):  # noqa: ANN001, ANN201
     return got.select("seq", F.size("embedding").alias("dim"))
 
 
-_Z = "list_sum(list_transform(range(1, 65), k -> e[k] * ((((k - 1) * 37) % 101 - 50)::DOUBLE / 100)))"
+_Z = "list_sum(list_transform(range(1, 65), lambda k: e[k] * ((((k - 1) * 37) % 101 - 50)::DOUBLE / 100)))"
 
 
 @query(f"WITH b AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), z AS (SELECT vec_id, {_Z} + 0.25 AS z FROM b) SELECT vec_id, round(1 / (1 + exp(-z)), 6) AS quality_score FROM z")
@@ -302,13 +302,13 @@ def d1_online_dedup(spark, d):  # noqa: ANN001, ANN201
     return online_dedup(x, "seq", "emb", "sig").select("seq", "id", "neighbour", F.round("dedup_similarity", 6).alias("dedup_similarity"))
 
 
-@query("""WITH n AS (SELECT vec_id, list_transform(embedding::DOUBLE[], x -> x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
+@query("""WITH n AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
   SELECT a.vec_id AS i, b.vec_id AS j, round(list_dot_product(a.e, b.e), 6) AS sim FROM n a JOIN n b ON b.vec_id < a.vec_id WHERE list_dot_product(a.e, b.e) >= 0.9""")
 def j5_cosine_pairs(spark, d):  # noqa: ANN001, ANN201
     return cosine_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", 0.9).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
-@query("""WITH n AS (SELECT vec_id, list_transform(embedding::DOUBLE[], x -> x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
+@query("""WITH n AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x / sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]))) AS e FROM embeddings)
   SELECT a.vec_id AS i, round(max(list_dot_product(a.e, b.e)), 6) AS sim FROM n a JOIN n b ON b.vec_id < a.vec_id GROUP BY 1""")
 def j7_nearest_prior(spark, d):  # noqa: ANN001, ANN201
     return nearest_prior(table(spark, d, "embeddings"), "vec_id", "embedding").select("i", F.round("sim", 6).alias("sim"))
@@ -338,7 +338,7 @@ def c2_kept_documents(spark, d):  # noqa: ANN001, ANN201
     return got.select("id", F.length("text").alias("chars"), "quality_score", "source")
 
 
-@query("SELECT count(*) AS ingested, count_if(lower(decision) = 'keep') AS kept, count_if(lower(decision) = 'reject') AS rejected, true AS conserved FROM stage_results")
+@query("SELECT count(*) AS ingested, count_if(lower(decision) = 'keep')::BIGINT AS kept, count_if(lower(decision) = 'reject')::BIGINT AS rejected, true AS conserved FROM stage_results")
 def c3_conservation(spark, d):  # noqa: ANN001, ANN201
     return conservation(results(spark, d))
 
@@ -346,7 +346,7 @@ def c3_conservation(spark, d):  # noqa: ANN001, ANN201
 # --- aggregates ---------------------------------------------------------------------------------
 
 
-@query("""SELECT count(*) AS ingested, count_if(lower(decision) = 'keep') AS kept, count_if(embedded_chars > 0) AS embed_calls,
+@query("""SELECT count(*) AS ingested, count_if(lower(decision) = 'keep')::BIGINT AS kept, count_if(embedded_chars > 0)::BIGINT AS embed_calls,
   coalesce(sum(CASE WHEN embedded_chars > 0 THEN embedded_chars END), 0)::BIGINT AS embedded_chars, round(count_if(lower(decision) = 'keep') / count(*), 9) AS retention_rate,
   round(coalesce(sum(CASE WHEN embedded_chars > 0 THEN embedded_chars END), 0)::DOUBLE / 4 / 1e6 * 0.12, 9) AS est_cost FROM stage_results""")
 def a1_a6_totals(spark, d):  # noqa: ANN001, ANN201
@@ -518,7 +518,7 @@ def x2_id_routes(spark, d):  # noqa: ANN001, ANN201
     return x.groupBy("part").agg(F.count("*").alias("docs"))
 
 
-@query("""WITH n AS (SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS k, count(*) OVER () AS n FROM raw_docs) SELECT seq, (k // ceil(n / 4))::INTEGER AS part FROM n""")
+@query("""WITH n AS (SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS k, count(*) OVER () AS n FROM raw_docs) SELECT seq, (k // ((n + 3) // 4))::INTEGER AS part FROM n""")
 def x3_contiguous_shards(spark, d):  # noqa: ANN001, ANN201
     return contiguous(raw(spark, d).select("seq"), "seq", 4).select("seq", "part")
 
