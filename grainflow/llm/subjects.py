@@ -170,23 +170,21 @@ def subject_shares(rows: DataFrame, terms: DataFrame) -> DataFrame:
         names, (sure, hint) = sent.value
         seq = seqs.flatten().to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(len(seqs)), np.diff(seqs.offsets.to_numpy()))
-        sid = np.cumsum(seq == 0) - 1
-        n = int(sid[-1]) + 1
-        owner = doc[seq == 0]
-        total = np.bincount(owner, minlength=len(seqs))
+        starts = np.flatnonzero(seq == 0)  # a sentence is a 0 and its terms
+        owner = doc[starts]
+        total = np.maximum(1, np.bincount(owner, minlength=len(seqs)))[:, None]
         seq[seq >= len(sure)] = 0
-        score = np.zeros((n, sure.shape[1]), np.float32)
-        np.add.at(score, sid, sure[seq])
+        width = sure.shape[1]
+
+        def counted(which: np.ndarray, best: np.ndarray) -> np.ndarray:
+            return np.bincount(owner[which] * width + best, minlength=len(seqs) * width).reshape(-1, width) / total
+
+        score = np.add.reduceat(sure[seq], starts)
         first = score.max(1) >= AGREE
-        share = np.zeros((len(seqs), sure.shape[1]))
-        np.add.at(share, (owner[first], score[first].argmax(1)), 1)
-        prior = share / np.maximum(1, total)[:, None]
-        rest = np.zeros_like(score)
-        np.add.at(rest, sid, hint[seq])
-        rest *= prior[owner] >= SHARE / 2
+        share = counted(first, score[first].argmax(1))
+        rest = np.add.reduceat(hint[seq], starts) * (share[owner] >= SHARE / 2)
         second = ~first & (rest.max(1) >= HINT)
-        np.add.at(share, (owner[second], rest[second].argmax(1)), 1)
-        share /= np.maximum(1, total)[:, None]
+        share = share + counted(second, rest[second].argmax(1))
         d, s = np.nonzero(share)
         return pa.RecordBatch.from_arrays([keys.take(pa.array(d)), pa.array([names[k] for k in s], pa.string()), pa.array(share[d, s])], names=["key", "subject", "share"])
 
