@@ -105,9 +105,9 @@ def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
     cls is a 64-bit hash of the set of shingles: rows of one cls are exact copies as far as overlap
     goes. n is the number of distinct shingles, bands one hash per band, sig 16 bits of each MinHash
     minimum, slices the number of distinct shingles in each of SLICES hash slices. Null, empty and
-    shorter texts give no row. Other columns are ignored.
+    shorter texts, and null keys, give no row. Other columns are ignored.
     """
-    src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") >= MIN_WORDS)
+    src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where((F.length("text") >= MIN_WORDS) & F.col("key").isNotNull())
     kind = src.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +147,7 @@ def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def shingle_sets(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, cls and the sorted distinct 64-bit shingle hashes, as binary, of each long enough text."""
-    src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") >= MIN_WORDS)
+    src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where((F.length("text") >= MIN_WORDS) & F.col("key").isNotNull())
     kind = src.schema["key"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

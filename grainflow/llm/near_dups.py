@@ -70,7 +70,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     """Classes of exact copies, and all pairs of different classes that overlap by threshold or more.
 
     Rows without text, or with fewer than 20 words, are in no class. Repeated rows of a key count
-    once; if a key has several texts, each counts. A null key is a key like any other. Three stages
+    once; if a key has several texts, each counts. Rows with a null key are left out. Three stages
     are written to the shared folder: fingerprints, surviving pairs and verified pairs.
     """
     prints = stored(fingerprints(df, key, text).drop("slices"), "prints")

@@ -123,7 +123,11 @@ def packed(sizes: DataFrame, specs: DataFrame, group: int = GROUP) -> DataFrame:
     """
     total = sizes.where("tokens > 0").count()
     groups = max(1, -(-total // group))
-    x = sizes.where("tokens > 0").crossJoin(F.broadcast(specs.where("capacity_tokens > 0").select("spec_id", "capacity_tokens", F.coalesce("sep_tokens", F.lit(0)).alias("sep_tokens"))))
+    kinds = dict(specs.dtypes)
+    wanted = specs.where("capacity_tokens > 0").select("spec_id", "capacity_tokens", "sep_tokens").distinct().collect()  # a row per spec
+    each = [F.struct(F.lit(r[0]).cast(kinds["spec_id"]).alias("spec_id"), F.lit(r[1]).alias("capacity_tokens"), F.lit(r[2] or 0).alias("sep_tokens")) for r in wanted]
+    none = F.array().cast(f"array<struct<spec_id:{kinds['spec_id']},capacity_tokens:int,sep_tokens:int>>")
+    x = sizes.where("tokens > 0").withColumn("spec", F.explode(F.array(*each) if each else none)).select("key", "tokens", "spec.*")
     cap = F.col("capacity_tokens")
     x = x.withColumn("full", (F.col("tokens") / cap).cast("bigint")).withColumn("rest", F.col("tokens") % cap)
     whole = x.where("tokens > capacity_tokens and full > 0").select(

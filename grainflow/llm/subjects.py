@@ -25,7 +25,7 @@ from .reading_level import word_counts
 
 MAX_TERMS, LEAST_DOCS, MOST_SHARE = 50_000, 3, 0.1
 ROUNDS, SEED_WEIGHT, PRIOR = 3, 2.0, 1.5
-AGREE, OTHER, HINT, LIFT = 0.6, 0.45, 0.3, 3.0
+AGREE, OTHER, HINT, ODDS = 0.6, 0.45, 0.3, 6.0
 SHARE = 0.18
 RUN = 15  # words of a stretch that stands for a sentence where there is no sentence end
 BREAK = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n\s*\n|\n(?=[^\s:]{1,24}:\s)")
@@ -119,7 +119,8 @@ def verified_terms(edges: DataFrame, known: DataFrame) -> DataFrame:
     p = c.join(n, "term").join(base, "subject").select("term", "subject", "base", ((F.col("c") + PRIOR * F.col("base")) / (F.col("n") + PRIOR)).alias("p"))
     top = p.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("p", "subject", "base")), asc=False).alias("by"))  # an entry per subject
     # a subject that many documents have must stand out the more, or words of all subjects would drift to it
-    sure = (F.col("by")[0]["p"] >= F.greatest(F.lit(AGREE), LIFT * F.col("by")[0]["base"])) & (F.coalesce(F.get("by", F.lit(1))["p"], F.lit(0.0)) <= OTHER)
+    p1, b1 = F.col("by")[0]["p"], F.col("by")[0]["base"]
+    sure = (p1 >= AGREE) & (p1 * (1 - b1) >= ODDS * b1 * (1 - p1)) & (F.coalesce(F.get("by", F.lit(1))["p"], F.lit(0.0)) <= OTHER)
     top = top.withColumn("sure", sure).select("term", "sure", F.explode("by").alias("x"))
     return top.select("term", "sure", F.col("x.subject").alias("subject"), F.col("x.p").alias("p")).where(F.col("p") >= HINT)
 
