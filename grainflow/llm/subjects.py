@@ -3,9 +3,9 @@
 The graph is kept in factored form: documents are linked through the terms they share, document -
 term - document, so that neither a hot term nor a group of copies yields pairs. A term is a verified
 link for a subject if the documents that hold it and whose subjects are known or inferred agree on
-that subject. Each round joins the edges with the documents' subjects to verify the terms, and the
-verified terms with the edges to infer the documents' subjects; labelled documents that can be
-trusted stay clamped to all of their subjects. At the end a document has each subject that at least
+that subject. Copies are one document. Each round infers the documents' subjects from the verified
+terms and, in the same pass, counts the terms by subject to verify them anew; labelled documents
+that can be trusted stay clamped to all of their subjects. At the end a document has each subject that at least
 SHARE of its sentences treat.
 """
 
@@ -13,24 +13,41 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
 from ._prose import COMMON, ENTITY, TAG, prose_units, repeated_share, words_of
-from .reading_level import word_counts
 
-MAX_TERMS, LEAST_DOCS, MOST_SHARE = 50_000, 3, 0.1
+LEAST_DOCS = 3
+MOST_SHARE = 1.0  # of the texts: no word is left out for being frequent, as ODDS rejects those that all subjects share
 ROUNDS, SEED_WEIGHT, PRIOR = 3, 2.0, 1.5
 AGREE, OTHER, HINT, ODDS = 0.6, 0.45, 0.3, 6.0
 SHARE = 0.18
 RUN = 15  # words of a stretch that stands for a sentence where there is no sentence end
+KNOWN, ALL = -1, -2
 BREAK = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|\n\s*\n|\n(?=[^\s:]{1,24}:\s)")
 
 
+class _Terms(dict):
+    """Word -> 62-bit hash, 0 for function words and words of one or two letters; emptied when it has
+    grown to a million words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        h = self[word] = (xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) >> 2) if len(word) > 2 and word not in COMMON else 0
+        return h
+
+
+_TERMS = _Terms()
+
+
 def sentences(text: str, us: list, ok: list[bool]) -> list[list[str]]:
     """Words of each sentence of three words or more among the connected sentences; us and ok as
     prose_units() gives them."""
@@ -62,21 +79,12 @@ def sentences(text: str, us: list, ok: list[bool]) -> list[list[str]]:
     return out
 
 
-def vocabulary(df: DataFrame, text: str) -> dict[str, int]:
-    """term -> number from 1 of at most MAX_TERMS words, no function words, that LEAST_DOCS documents
-    or more and MOST_SHARE of them at most hold; counted over all documents."""
-    docs = df.where(F.length(text) > 0).count()
-    x = word_counts(df, text).where((F.col("docs") >= LEAST_DOCS) & (F.col("docs") <= max(LEAST_DOCS, MOST_SHARE * docs)) & (F.length("word") > 2))
-    rows = x.orderBy(F.desc("docs"), "word").limit(MAX_TERMS).collect()
-    return {w: k + 1 for k, w in enumerate(sorted(r["word"] for r in rows if r["word"] not in COMMON))}
-
-
-def term_rows(df: DataFrame, key: str, text: str, terms: dict[str, int]) -> DataFrame:
-    """key and seq, per sentence a 0 and the numbers of its terms, of each document that is mainly
-    prose. Null, empty and blank texts, lists, tables and junk give no row."""
+def term_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, h, terms and seq of each document that is mainly prose: a hash of the text, the distinct
+    terms, and per sentence a 0 and its terms. A term is the hash of a word of three letters or more
+    that is no function word. Null, empty and blank texts, lists, tables and junk give no row."""
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where(F.length("text") > 0)
     kind = src.schema["key"].dataType.simpleString()
-    sent = df.sparkSession.sparkContext.broadcast(terms)  # MAX_TERMS words at most
 
     def one(text: str) -> list[int] | None:
         us, ok = prose_units(text)
@@ -84,20 +92,23 @@ def term_rows(df: DataFrame, key: str, text: str, terms: dict[str, int]) -> Data
         prose = sum(u[0] for u, k in zip(us, ok, strict=True) if k)
         if not chars or prose < 0.5 * chars or prose / chars - repeated_share(text) < 0.5:
             return None
-        get = sent.value.get
         seq: list[int] = []
         for s in sentences(text, us, ok):
             seq.append(0)
-            seq += [t for w in s if (t := get(w)) is not None]
+            seq += [t for w in s if (t := _TERMS[w])]
         return seq or None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [one(t) for t in b.column(1).to_pylist()]
+            texts = b.column(1).to_pylist()
+            got = [one(t) for t in texts]
             keep = [k for k, s in enumerate(got) if s]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array([got[k] for k in keep], pa.list_(pa.int32()))], names=["key", "seq"])
+            h = np.array([xxhash.xxh3_64_intdigest(texts[k].encode("utf-8", "replace")) for k in keep], np.uint64).view(np.int64)
+            terms = [list(set(got[k]) - {0}) for k in keep]
+            cols = [b.column(0).take(pa.array(keep, pa.int64())), pa.array(h), pa.array(terms, pa.list_(pa.int64())), pa.array([got[k] for k in keep], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "h", "terms", "seq"])
 
-    return src.mapInArrow(run, f"key {kind}, seq array<int>")
+    return src.mapInArrow(run, f"key {kind}, h bigint, terms array<bigint>, seq array<bigint>")
 
 
 def seeds(labels: DataFrame, key: str, subject: str, annotator: str) -> DataFrame:
@@ -107,103 +118,154 @@ def seeds(labels: DataFrame, key: str, subject: str, annotator: str) -> DataFram
     return x.where(F.size("sets") == 1).select("key", F.col("sets")[0].alias("subjects"))
 
 
-def verified_terms(edges: DataFrame, known: DataFrame) -> DataFrame:
-    """term, subject, p: how much a term speaks for a subject, of terms that speak for one alone
-    (sure) or for few (a hint). edges: key, term; known: key, subjects, weight."""
-    base = known.select("weight", F.explode("subjects").alias("subject")).groupBy("subject").agg(F.sum("weight").alias("w"))
-    total = known.agg(F.sum("weight").alias("all_w"))
-    base = base.join(total, F.lit(True)).select("subject", (F.col("w") / F.col("all_w")).alias("base"))  # a row per subject
-    got = edges.join(known, "key").groupBy("term", "subjects").agg(F.sum("weight").alias("w"))  # sets of subjects are few
-    n = got.groupBy("term").agg(F.sum("w").alias("n"))
-    c = got.select("term", "w", F.explode("subjects").alias("subject")).groupBy("term", "subject").agg(F.sum("w").alias("c"))
-    p = c.join(n, "term").join(base, "subject").select("term", "subject", "base", ((F.col("c") + PRIOR * F.col("base")) / (F.col("n") + PRIOR)).alias("p"))
-    top = p.groupBy("term").agg(F.sort_array(F.collect_list(F.struct("p", "subject", "base")), asc=False).alias("by"))  # an entry per subject
+def distinct_texts(rows: DataFrame, seed: DataFrame) -> DataFrame:
+    """h, terms, seq, own of each distinct text. own: the subjects that most of its labelled copies
+    have, null without labels or where no set of subjects has most."""
+    ids = rows.select("key", "h")
+    copied = stored(ids.groupBy("h").agg(F.min("key").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"), "copied")
+    rest = stored(ids.join(copied, "h").where(F.col("key") != F.col("rep")).select("key"), "rest")
+    votes = ids.join(seed, "key").groupBy("h", "subjects").agg(F.count("*").alias("n"))
+    by = F.sort_array(F.collect_list(F.struct("n", "subjects")), asc=False)  # sets of subjects are few
+    own = votes.groupBy("h").agg(by.alias("by")).where((F.size("by") == 1) | (F.col("by")[0]["n"] > F.get("by", F.lit(1))["n"]))
+    first = rows.join(rest, "key", "left_anti").drop("key")
+    return first.join(own.select("h", F.col("by")[0]["subjects"].alias("own")), "h", "left")
+
+
+class Terms(NamedTuple):
+    """Verified terms in ascending order, and p by term and subject of the sure ones and of the hints;
+    the last row, for all other terms, is 0."""
+
+    terms: np.ndarray
+    sure: np.ndarray
+    hint: np.ndarray
+
+    def at(self, t: np.ndarray) -> np.ndarray:
+        k = np.searchsorted(self.terms, t)
+        k[k == len(self.terms)] = 0
+        return np.where(self.terms[k] == t, k, len(self.terms)) if len(self.terms) else k
+
+
+def counted(nodes: DataFrame, names: list[str], terms: Terms | None) -> DataFrame:
+    """term, s, w: the weight of the texts of known or inferred subjects that hold a term, by number of
+    subject (s), of all these texts (s = KNOWN), and the number of all texts (s = ALL). Term 0 is in every text.
+
+    A text's subjects are inferred where a fifth or more, and two at least, of its sure terms speak for
+    them. A labelled text is trusted, and stays clamped to its subjects with the weight SEED_WEIGHT, as
+    long as its terms don't say something else altogether. Without terms only the labelled texts are known."""
+    sent = nodes.sparkSession.sparkContext.broadcast(terms)  # the verified terms
+    number = {s: k for k, s in enumerate(names)}
+    size = len(names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = sent.value
+        for b in batches:
+            n = b.num_rows
+            flat = b.column(0).flatten().to_numpy().astype(np.int64)
+            doc = np.repeat(np.arange(n), np.diff(b.column(0).offsets.to_numpy()))
+            labels = b.column(1).to_pylist()
+            has = np.array([x is not None for x in labels], bool)
+            own = np.zeros((n, size), bool)
+            for k in np.flatnonzero(has):
+                own[k, [number[s] for s in labels[k]]] = True
+            if t is None:
+                subjects, weight = own, has.astype(float)
+            else:
+                at = t.at(flat)
+                best = t.sure.argmax(1)
+                good = t.sure[np.arange(len(best)), best][at] >= AGREE
+                hits = np.bincount(doc[good] * size + best[at[good]], minlength=n * size).reshape(n, size)
+                got = (hits >= 2) & (hits >= 0.2 * hits.sum(1, keepdims=True))
+                clamped = has & (~got.any(1) | (got & own).any(1))
+                subjects = np.where(clamped[:, None], own, got)
+                weight = np.where(clamped, SEED_WEIGHT, subjects.any(1).astype(float))
+            each = np.concatenate((subjects * weight[:, None], weight[:, None], np.ones((n, 1))), axis=1)
+            words, at = np.unique(flat, return_inverse=True)
+            w = np.stack([np.bincount(at, each[doc, k], minlength=len(words)) for k in range(size + 2)], 1)
+            w = np.concatenate((each.sum(0)[None], w))
+            r, c = np.nonzero(w)
+            kinds = np.array([*range(size), KNOWN, ALL], np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(([0], words))[r]), pa.array(kinds[c]), pa.array(w[r, c])], names=["term", "s", "w"])
+
+    each = nodes.select("terms", "own").mapInArrow(run, "term bigint, s int, w double")
+    return each.groupBy("term", "s").agg(F.sum("w").alias("w"))
+
+
+def verified_terms(counts: DataFrame, names: list[str]) -> Terms:
+    """The terms that speak for one subject alone (sure) or for few (a hint), and how much; of the terms
+    that LEAST_DOCS distinct texts or more hold."""
+    whole = {r["s"]: r["w"] for r in counts.where("term = 0").collect()}  # a row per subject
+    base = F.array(*(F.lit(float(whole.get(k, 0.0) / max(1e-9, whole.get(KNOWN, 0.0)))) for k in range(len(names))))
+    one = counts.where("term <> 0").groupBy("term").agg(
+        F.max(F.when(F.col("s") == KNOWN, F.col("w"))).alias("n"),
+        F.max(F.when(F.col("s") == ALL, F.col("w"))).alias("texts"),
+        F.collect_list(F.when(F.col("s") >= 0, F.struct("s", F.col("w").alias("c")))).alias("by"),  # an entry per subject
+    )
+    one = one.where((F.col("texts") >= LEAST_DOCS) & F.col("n").isNotNull())
+    p = F.transform("by", lambda v: F.struct(((v["c"] + PRIOR * F.get(base, v["s"])) / (F.col("n") + PRIOR)).alias("p"), v["s"].alias("s"), F.get(base, v["s"]).alias("base")))
+    top = one.select("term", F.sort_array(p, asc=False).alias("by")).where(F.size("by") > 0)
     # a subject that many documents have must stand out the more, or words of all subjects would drift to it
     p1, b1 = F.col("by")[0]["p"], F.col("by")[0]["base"]
     sure = (p1 >= AGREE) & (p1 * (1 - b1) >= ODDS * b1 * (1 - p1)) & (F.coalesce(F.get("by", F.lit(1))["p"], F.lit(0.0)) <= OTHER)
     top = top.withColumn("sure", sure).select("term", "sure", F.explode("by").alias("x"))
-    return top.select("term", "sure", F.col("x.subject").alias("subject"), F.col("x.p").alias("p")).where(F.col("p") >= HINT)
-
-
-def inferred(edges: DataFrame, terms: DataFrame) -> DataFrame:
-    """key, subjects: those that a fifth or more, and two at least, of a document's sure terms speak for."""
-    sure = terms.where(F.col("sure") & (F.col("p") >= AGREE)).select("term", "subject")
-    hits = edges.join(sure, "term").groupBy("key", "subject").agg(F.count("*").alias("n"))
-    x = hits.groupBy("key").agg(F.collect_list(F.struct("subject", "n")).alias("by"), F.sum("n").alias("all_n"))
-    good = F.filter("by", lambda v: (v["n"] >= 2) & (v["n"] >= 0.2 * F.col("all_n")))
-    return x.select("key", F.array_sort(F.transform(good, lambda v: v["subject"])).alias("subjects"))
-
-
-def propagate(edges: DataFrame, seed: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The verified terms after some rounds. A seed is trusted as long as the graph doesn't say
-    something else altogether; trusted seeds stay clamped and weigh SEED_WEIGHT documents."""
-    start = seed.withColumn("weight", F.lit(1.0))
-    terms = stored(verified_terms(edges, start), "terms")
-    for _ in range(rounds):
-        got = stored(inferred(edges, terms), "inferred")
-        s = seed.withColumnRenamed("subjects", "own")
-        x = got.join(s, "key", "full_outer")
-        fits = F.col("subjects").isNull() | (F.size("subjects") == 0) | F.arrays_overlap("own", "subjects")
-        clamped = F.col("own").isNotNull() & fits
-        known = x.select(
-            "key",
-            F.when(clamped, F.col("own")).otherwise(F.col("subjects")).alias("subjects"),
-            F.when(clamped, SEED_WEIGHT).otherwise(1.0).alias("weight"),
-        ).where("subjects is not null and (weight > 1 or size(subjects) > 0)")
-        terms = stored(verified_terms(edges, known), "terms")
+    got = top.select("term", "sure", "x.s", F.col("x.p").cast("float").alias("p")).where(F.col("p") >= HINT).toArrow()
+    term = got["term"].to_numpy()
+    terms, at = np.unique(term, return_inverse=True)
+    table = np.zeros((2, len(terms) + 1, max(1, len(names))), np.float32)
+    table[np.where(got["sure"].to_numpy(zero_copy_only=False), 0, 1), at, got["s"].to_numpy()] = got["p"].to_numpy()
+    return Terms(terms, table[0], table[1])
+
+
+def propagate(nodes: DataFrame, names: list[str], rounds: int = ROUNDS) -> Terms:
+    """The verified terms after some rounds."""
+    terms = None
+    for _ in range(rounds + 1):
+        terms = verified_terms(stored(counted(nodes, names, terms), "counts"), names)
     return terms
 
 
-def subject_shares(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """key, subject, share: the part of a document's sentences that treat a subject. A sentence treats
-    the subject its terms speak for most; hints count only for subjects the document has anyway."""
-    got = terms.collect()  # MAX_TERMS terms at most, some subjects each
-    names = sorted({r["subject"] for r in got})
-    size = max([r["term"] for r in got], default=0) + 1
-    at = {s: k for k, s in enumerate(names)}
-    table = np.zeros((2, size, max(1, len(names))), np.float32)
-    for r in got:
-        table[0 if r["sure"] else 1, r["term"], at[r["subject"]]] = r["p"]
-    sent = rows.sparkSession.sparkContext.broadcast((names, table))
-    kind = rows.schema["key"].dataType.simpleString()
+def subject_shares(nodes: DataFrame, terms: Terms, names: list[str]) -> DataFrame:
+    """h, subject, share: the part of a text's sentences that treat a subject. A sentence treats
+    the subject its terms speak for most; hints count only for subjects the text has anyway."""
+    sent = nodes.sparkSession.sparkContext.broadcast(terms)  # the verified terms
 
     def some(keys: pa.Array, seqs: pa.Array) -> pa.RecordBatch:
-        names, (sure, hint) = sent.value
+        t = sent.value
         seq = seqs.flatten().to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(len(seqs)), np.diff(seqs.offsets.to_numpy()))
         starts = np.flatnonzero(seq == 0)  # a sentence is a 0 and its terms
         owner = doc[starts]
         total = np.maximum(1, np.bincount(owner, minlength=len(seqs)))[:, None]
-        seq[seq >= len(sure)] = 0
-        width = sure.shape[1]
+        seq = t.at(seq)
+        width = t.sure.shape[1]
 
         def counted(which: np.ndarray, best: np.ndarray) -> np.ndarray:
             return np.bincount(owner[which] * width + best, minlength=len(seqs) * width).reshape(-1, width) / total
 
-        score = np.add.reduceat(sure[seq], starts)
+        score = np.add.reduceat(t.sure[seq], starts)
         first = score.max(1) >= AGREE
         share = counted(first, score[first].argmax(1))
-        rest = np.add.reduceat(hint[seq], starts) * (share[owner] >= SHARE / 2)
+        rest = np.add.reduceat(t.hint[seq], starts) * (share[owner] >= SHARE / 2)
         second = ~first & (rest.max(1) >= HINT)
         share = share + counted(second, rest[second].argmax(1))
         d, s = np.nonzero(share)
-        return pa.RecordBatch.from_arrays([keys.take(pa.array(d)), pa.array([names[k] for k in s], pa.string()), pa.array(share[d, s])], names=["key", "subject", "share"])
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(d)), pa.array([names[k] for k in s], pa.string()), pa.array(share[d, s])], names=["h", "subject", "share"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 yield some(b.column(0).slice(lo, 500), pa.concat_arrays([b.column(1).slice(lo, 500)]))
 
-    return rows.mapInArrow(run, f"key {kind}, subject string, share double") if names else rows.select("key", F.lit("").alias("subject"), F.lit(0.0).alias("share")).limit(0)
+    return nodes.select("h", "seq").mapInArrow(run, "h bigint, subject string, share double")
 
 
 def document_subjects(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, subject: str, annotator: str, share: float = SHARE) -> DataFrame:
     """key, subject, share of each subject that at least `share` of a document's sentences treat.
 
     key is unique in df. Documents without text or without connected sentences have none; without
-    labels no document has any. Labels of unknown documents are ignored."""
-    terms = vocabulary(df, text)
-    rows = stored(term_rows(df, key, text, terms), "term-rows")
-    edges = rows.select("key", F.explode(F.array_distinct("seq")).alias("term")).where("term > 0")
-    got = subject_shares(rows, propagate(edges, seeds(labels, label_key, subject, annotator)))
-    return got.where(F.col("share") >= share)
+    labels no document has any. Labels of unknown documents are ignored. Copies count as one text."""
+    seed = stored(seeds(labels, label_key, subject, annotator), "seeds")
+    names = sorted(r["s"] for r in seed.select(F.explode("subjects").alias("s")).distinct().collect())  # subjects are few
+    rows = stored(term_rows(df, key, text), "term-rows")
+    nodes = stored(distinct_texts(rows, seed), "texts")
+    got = subject_shares(nodes, propagate(nodes, names), names).where(F.col("share") >= share)
+    return rows.select("key", "h").join(got, "h").select("key", "subject", "share")

@@ -173,3 +173,23 @@ def test_subjects(spark):
     assert got[900] == {"sport", "law"} and got[905] == {"food"}
     assert not {901, 902, 903, 904} & set(got)
     assert document_subjects(d.limit(5), "doc_id", "text", lab.limit(0), "doc_id", "subject", "annotator").count() == 0
+
+
+def test_a_subject_and_a_group_of_copies_hold_a_third_of_the_rows(spark):
+    """With the parameters of production: the words of a hot subject, and of copies, stay terms."""
+    docs, labels = [], []
+    copy = about(["food"] * 5 + ["law"] * 3, 7000)
+    for k in range(300):
+        t = "sport" if k % 3 == 0 else ("law", "food")[k % 2]
+        docs.append((k, copy if k % 3 == 1 else about([t] * 6 + [None] * 2, k)))
+        if k < 90 and k % 3 != 1:
+            labels.append((k, t, "a1"))
+    labels += [(1, "food", "a1"), (1, "law", "a1"), (4, "food", "a1"), (4, "law", "a1"), (7, "sport", "a1")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    lab = spark.createDataFrame(labels, "doc_id bigint, subject string, annotator string")
+    got = {}
+    for r in document_subjects(d, "doc_id", "text", lab, "doc_id", "subject", "annotator").collect():
+        got.setdefault(r["key"], set()).add(r["subject"])
+    want = {k: {"food", "law"} if k % 3 == 1 else {"sport" if k % 3 == 0 else ("law", "food")[k % 2]} for k in range(300)}
+    assert np.mean([got.get(k) == want[k] for k in want]) >= 0.97
+    assert all(got.get(k) == want[k] for k in range(1, 300, 3))
