@@ -193,3 +193,10 @@ def test_a_subject_and_a_group_of_copies_hold_a_third_of_the_rows(spark):
     want = {k: {"food", "law"} if k % 3 == 1 else {"sport" if k % 3 == 0 else ("law", "food")[k % 2]} for k in range(300)}
     assert np.mean([got.get(k) == want[k] for k in want]) >= 0.97
     assert all(got.get(k) == want[k] for k in range(1, 300, 3))
+
+
+def test_a_third_of_the_rows_is_one_repeated_page(spark):
+    rows = [(f"p{k}", varied(k)) for k in range(80)] + [(f"r{k}", PROSE * 9) for k in range(40)]
+    stats = text_stats(spark.createDataFrame(rows, "id string, text string"), "id", "text")
+    got = not_prose(with_flags(stats, reference(sketches(stats))))
+    assert {r["key"] for r in got.collect()} == {f"r{k}" for k in range(40)}
