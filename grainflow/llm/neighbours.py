@@ -6,7 +6,9 @@ vector is stored in the cell of its nearest vantage point. A query visits a cell
 inequality leaves room for a vector within the search radius: with angles as the metric, it needs
     d(q, v) - radius(cell) <= reach   and   (d(q, v) - d(q, nearest v)) / 2 <= reach
 where reach is the angle of min_cosine divided by relax. relax = 1 is exact; more visits less.
-A cell whose vantage point lies within the unrelaxed angle is always visited. Vectors travel as
+A cell whose vantage point lies within the unrelaxed angle is always visited. Vectors with fewer than
+k within that radius search again, each within the angle of its (k + 1)-th nearest vantage point:
+these are vectors too, so k others lie within. Vectors travel as
 16-bit integers scaled to their largest component (an error of some 1e-6 in the cosine), once to their shard and as queries to the
 other shards they visit. Exact copies are one vector: its smallest ids stand for it.
 """
@@ -26,6 +28,8 @@ from ..session import stored
 DIM, RELAX = 256, 8.0
 #: data rows of a shard that one task compares; a larger shard, as in a dense area, is cut into slices
 SLICE = 65_536
+#: cosine within which all vectors search first; and what is added to an angle, as those of 32-bit cosines are inexact
+FIRST, SLACK = 0.7, 2e-3
 #: least and most vantage points and shards; in between they grow with the number of vectors
 POINTS, SHARDS = (1024, 16_384), (16, 2048)
 
@@ -74,17 +78,21 @@ class Tree:
         at = d.argmin(1)
         return d, at, d[np.arange(len(x)), at]
 
-    def visits(self, x: np.ndarray, reach: float, relax: float) -> tuple[np.ndarray, np.ndarray]:
-        """(queries, cells): whether a query visits a cell; and each query's own cell."""
+    def visits(self, x: np.ndarray, reach: float, relax: float, k: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(queries, cells): whether a query visits a cell; each query's own cell; and its radius, which
+        is reach or, with k, the angle within which k others lie for certain if that is more."""
         d, at, near = self.home(x)
+        own = np.full((len(x), 1), reach)
+        if k:
+            own = np.maximum(own, np.partition(d, k, 1)[:, k : k + 1] + SLACK if d.shape[1] > k else np.pi)
         lower = np.maximum(d - self.radius, (d - near[:, None]) / 2)
-        return (lower <= reach / relax) | (d <= reach), at
+        return (lower <= own / relax) | (d <= own), at, own[:, 0]
 
 
-def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0.7, relax: float = RELAX, dim: int = DIM, points: int | None = None, shards: int | None = None) -> DataFrame:
-    """id, neighbour, cosine, rank: for each usable vector the k most similar others of cosine
-    min_cosine or more (ties: the smaller id), fewer where there aren't k. A key with several
-    different vectors is a vector each, without links to itself. No usable vector gives no rows.
+def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float | None = None, relax: float = RELAX, dim: int = DIM, points: int | None = None, shards: int | None = None) -> DataFrame:
+    """id, neighbour, cosine, rank: for each usable vector the k most similar others (ties: the smaller
+    id), with min_cosine only those of that cosine or more; fewer where there aren't k. A key with
+    several different vectors is a vector each, without links to itself. No usable vector gives no rows.
 
     The tree is fitted on `points` vectors, chosen by their hash: eight per shard, within POINTS; a
     shard is half a SLICE of vectors, within SHARDS. All vectors are indexed.
@@ -112,9 +120,15 @@ def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float = 0
         tree.radius[r["cell"]] = r["far"]
     filled = {r["cell"] for r in placed.select("cell").distinct().collect()}
     tree.radius[[c for c in range(len(tree.points)) if c not in filled]] = -np.inf
-    reach = float(np.arccos(min_cosine))
-    found = _search(nodes, placed, tree, k, min_cosine, reach, relax, dim)
+    floor = FIRST if min_cosine is None else min_cosine
+    found = _search(nodes, placed, tree, k, floor, float(np.arccos(floor)), relax, dim)
     best = _best_pairs(found, k)
+    if min_cosine is None:
+        best = stored(best, "best")
+        enough = best.groupBy("a").count().where(F.col("count") >= k).select(F.col("a").alias("h"))
+        few = stored(nodes.select("h").join(enough, "h", "left_anti"), "few")
+        again = _search(nodes, placed, tree, k, floor, float(np.arccos(floor)), relax, dim, few)
+        best = best.join(few, F.col("a") == F.col("h"), "left_anti").unionByName(_best_pairs(again, k))
     return _expanded(best, members, w, copied, k)
 
 
@@ -137,8 +151,10 @@ def _placed(nodes: DataFrame, tree: Tree, dim: int) -> DataFrame:
     return nodes.select("h", "v").mapInArrow(run, "cell int, far double")
 
 
-def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: float, relax: float, dim: int) -> DataFrame:
-    """a, b, cosine: the best k of each query a within each shard slice."""
+def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine: float, reach: float, relax: float, dim: int, few: DataFrame | None = None) -> DataFrame:
+    """a, b, cosine: the best k of each query a within each shard slice. With few (h), these alone are
+    queries, and each has the radius that holds k others instead of min_cosine."""
+    wide = 0 if few is None else k
     sent = placed.sparkSession.sparkContext.broadcast(tree)
     sizes = dict(placed.select("cell").groupBy("cell").count().collect())  # a number per vantage point
     load = np.zeros(int(tree.shard.max()) + 1)
@@ -157,7 +173,7 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
             out = np.zeros((len(x), len(slices)), bool)
             cell = np.empty(len(x), np.int64)
             for lo in range(0, len(x), 2000):
-                seen, cell[lo : lo + 2000] = t.visits(x[lo : lo + 2000], reach, relax)
+                seen, cell[lo : lo + 2000], _ = t.visits(x[lo : lo + 2000], reach, relax, wide)
                 for s in range(len(slices)):
                     out[lo : lo + 2000, s] = seen[:, t.shard == s].any(1)
             own = t.shard[cell]
@@ -167,14 +183,26 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
             for s in range(len(slices)):
                 q = np.flatnonzero(out[:, s])
                 for j in range(slices[s]):
-                    r = q[(own[q] != s) | (at[q] != j)]
+                    r = q if wide else q[(own[q] != s) | (at[q] != j)]
                     rows.append(r), ss.append(np.full(len(r), s)), ks.append(np.full(len(r), j))
             r, s, j = map(np.concatenate, (rows, ss, ks))
-            r, s, j = np.concatenate((np.arange(len(x)), r)), np.concatenate((own, s)), np.concatenate((at, j))
-            c = np.concatenate((cell, np.full(len(r) - len(x), -1)))
+            c = np.full(len(r), -1)
+            if not wide:
+                r, s, j, c = np.concatenate((np.arange(len(x)), r)), np.concatenate((own, s)), np.concatenate((at, j)), np.concatenate((cell, c))
             take = pa.array(r)
             yield pa.RecordBatch.from_arrays([pa.array((s * 100_000 + j).astype(np.int64)), pa.array(c.astype(np.int32)), b.column(0).take(take), b.column(1).take(take)], names=["place", "cell", "h", "v"])
 
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each vector to its shard's slice as data alone."""
+        t = sent.value
+        for b in batches:
+            if b.num_rows:
+                h = b.column(0).to_numpy()
+                cell = np.concatenate([t.home(unit(b.column(1).slice(lo, 2000).to_pylist(), dim))[1] for lo in range(0, b.num_rows, 2000)])
+                own = t.shard[cell]
+                place = own * 100_000 + np.abs(h) % slices[own]
+                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(cell.astype(np.int32)), b.column(0), b.column(1)], names=["place", "cell", "h", "v"])
+
     def compare(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One place: its data rows, by cell, against its queries, in blocks."""
         t = sent.value
@@ -193,23 +221,28 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
         dx = unit(base["v"].to_pylist(), dim)[order]
         starts = np.concatenate(([0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]))
         del base
-        for b in [*data, *queries]:
-            for lo in range(0, b.num_rows, 1024):
-                part = b.slice(lo, 1024)
+        for b in queries if wide else [*data, *queries]:
+            step = 256 if wide else 1024
+            for lo in range(0, b.num_rows, step):
+                part = b.slice(lo, step)
                 qh, qx = part.column(2).to_numpy(), unit(part.column(3).to_pylist(), dim)
-                seen, _ = t.visits(qx, reach, relax)
+                seen, _, radius = t.visits(qx, reach, relax, wide)
+                least = np.cos(radius) if wide else np.full(len(qx), min_cosine)
                 hits_q, hits_d, hits_s = [], [], []
                 for i in range(len(starts) - 1):
                     q = np.flatnonzero(seen[:, cells[starts[i]]])
                     if not len(q):
                         continue
                     s = qx[q] @ dx[starts[i] : starts[i + 1]].T
-                    y, z = np.nonzero(s >= min_cosine - 1e-6)
+                    low = least[q, None] - 1e-6
+                    if wide and s.shape[1] > k + 1:  # a cell's best k, one more for the query itself, and ties
+                        low = np.maximum(low, np.partition(s, -k - 1, 1)[:, -k - 1, None] - 1e-6)
+                    y, z = np.nonzero(s >= low)
                     hits_q.append(q[y]), hits_d.append(z + starts[i]), hits_s.append(s[y, z])
                 if not hits_q:
                     continue
                 a, d, s = np.concatenate(hits_q), np.concatenate(hits_d), np.round(np.concatenate(hits_s).astype(np.float64), 7)
-                keep = (qh[a] != dh[d]) & (s >= min_cosine)
+                keep = (qh[a] != dh[d]) & (s >= least[a])
                 a, d, s = a[keep], d[keep], s[keep]
                 # all ties of the k-th stay, as which of them counts depends on the ids
                 o = np.lexsort((-s, a))
@@ -220,7 +253,12 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
                 ok = s >= kth
                 yield pa.RecordBatch.from_arrays([pa.array(qh[a[ok]]), pa.array(dh[d[ok]]), pa.array(s[ok])], names=["a", "b", "cosine"])
 
-    routed = nodes.select("h", "v").mapInArrow(route, "place bigint, cell int, h bigint, v binary")
+    kinds = "place bigint, cell int, h bigint, v binary"
+    all_v = nodes.select("h", "v")
+    if few is None:
+        routed = all_v.mapInArrow(route, kinds)
+    else:
+        routed = all_v.mapInArrow(home, kinds).unionByName(all_v.join(few, "h", "left_semi").mapInArrow(route, kinds))
     return routed.groupBy("place").applyInArrow(_per_group(compare), "a bigint, b bigint, cosine double")
 
 

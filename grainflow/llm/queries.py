@@ -65,7 +65,7 @@ def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similar_pairs(p5_neighbours(spark, sf_dir))
+    return similar_pairs(nearest(table(spark, sf_dir, "doc_rows"), "id", "emb", min_cosine=0.7))
 
 
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:

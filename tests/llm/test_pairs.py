@@ -141,3 +141,18 @@ def test_many_copies_of_one_vector(spark):
     assert sorted(got["c030"]) == [f"c{k:03d}" for k in range(5)]
     assert sorted(got["c002"]) == ["c000", "c001", "c003", "c004", "c005"]
     assert nearest(df.limit(0), "id", "emb", dim=16).count() == 0
+
+
+@pytest.mark.parametrize(("relax", "floor"), [(1.0, 0.99), (8.0, 0.6)])
+def test_loners_have_neighbours_too(spark, relax, floor):
+    rng = np.random.default_rng(8)
+    vs = vectors(5, 200) + [(f"x{k}", rng.normal(size=16).astype("<f4")) for k in range(40)]
+    df = spark.createDataFrame([(i, v.tobytes()) for i, v in vs], "id string, emb binary")
+    got = nearest(df, "id", "emb", 5, relax=relax, dim=16, points=40, shards=5)
+    ranks = {}
+    for r in got.collect():
+        ranks.setdefault(r["id"], []).append(r["rank"])
+    assert {i: sorted(x) for i, x in ranks.items()} == {i: [1, 2, 3, 4, 5] for i, _ in vs}
+    pairs = {(r["id_a"], r["id_b"]) for r in similar_pairs(got).collect()}
+    want = brute_nearest(vs, 5, -1)
+    assert len(pairs & want) >= floor * len(want)
