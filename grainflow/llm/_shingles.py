@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from math import ceil, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -99,17 +100,31 @@ def _binary(a: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(a), [None, pa.py_buffer(off), pa.py_buffer(a)])
 
 
-def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
+def bands_for(threshold: float, miss: float) -> tuple[int, int]:
+    """Rows and bands: ROWS and BANDS if these lose a pair of the threshold with a chance of miss at most,
+    else the most rows, and the fewest bands of them, that do."""
+    for rows in range(ROWS, 0, -1):
+        need = ceil(log(miss) / log1p(-(threshold**rows))) if threshold < 1 else 1
+        if rows == ROWS and need <= BANDS:
+            return ROWS, BANDS
+        if rows * need <= PERMS:
+            return rows, need
+    raise ValueError(f"{PERMS} minima can't find pairs of overlap {threshold} with a miss of {miss}")
+
+
+def fingerprints(df: DataFrame, key: str, text: str, shape: tuple[int, int] = (ROWS, BANDS)) -> DataFrame:
     """key, cls, n, bands, sig and slices of each row whose text has MIN_WORDS words or more.
 
     cls is a 64-bit hash of the set of shingles: rows of one cls are exact copies as far as overlap
-    goes. n is the number of distinct shingles, bands one hash per band, sig 16 bits of each MinHash
+    goes. n is the number of distinct shingles, bands one hash per band (shape: minima of each, and bands), sig 16 bits of each MinHash
     minimum, slices the number of distinct shingles in each of SLICES hash slices. Null, empty and
     shorter texts, and null keys, give no row. Other columns are ignored.
     """
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where((F.length("text") >= MIN_WORDS) & F.col("key").isNotNull())
     kind = src.schema["key"].dataType.simpleString()
 
+    n_rows, n_bands = shape
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0)
@@ -123,13 +138,13 @@ def fingerprints(df: DataFrame, key: str, text: str) -> DataFrame:
                     n[k] = len(u)
                     cls[k] = xxhash.xxh3_64_intdigest(u.tobytes())
                     sl[k] = np.minimum(np.bincount((u >> np.uint64(58)).astype(np.int64), minlength=SLICES), 65535)
-                b = np.empty((len(docs), BANDS), np.uint64)
-                for k in range(BANDS):
+                b = np.empty((len(docs), n_bands), np.uint64)
+                for k in range(n_bands):
                     x = np.full(len(docs), k + 1, np.uint64) * _P[SHINGLE + 1]
-                    for r in range(ROWS):
-                        x = _mix(x + m[:, k * ROWS + r].astype(np.uint64) * _P[SHINGLE + 2 + r - 1])
+                    for r in range(n_rows):
+                        x = _mix(x + m[:, k * n_rows + r].astype(np.uint64) * _P[SHINGLE + 2 + r - 1])
                     b[:, k] = x
-                off = pa.array(np.arange(len(docs) + 1, dtype=np.int32) * BANDS)
+                off = pa.array(np.arange(len(docs) + 1, dtype=np.int32) * n_bands)
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.take(pa.array(docs)),

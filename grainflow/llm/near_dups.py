@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
-from ._shingles import PERMS, band_pairs, fingerprints, shingle_sets, with_overlap
+from ._shingles import PERMS, band_pairs, bands_for, fingerprints, shingle_sets, with_overlap
 
 THRESHOLD, MISS, BATCH = 0.8, 0.001, 16
 
@@ -47,6 +47,27 @@ def least_matches(threshold: float, miss: float = MISS, batch: int = BATCH) -> l
     return out
 
 
+def prune_loss(threshold: float, miss: float) -> float:
+    """The chance that bayes_prune() drops a pair of exactly the threshold, at any of its steps."""
+    live, at, lost = np.ones(1), 0, 0.0
+    for n, least in least_matches(threshold, miss):
+        k = n - at
+        live = np.convolve(live, [comb(k, m) * threshold**m * (1 - threshold) ** (k - m) for m in range(k + 1)])
+        lost += live[:least].sum()
+        live[:least] = 0.0
+        at = n
+    return float(lost)
+
+
+def miss_shares(threshold: float, miss: float) -> tuple[tuple[int, int], float]:
+    """Rows and bands, and the miss of bayes_prune(), that together lose a pair of the threshold with a
+    chance of miss at most: half of it each."""
+    prune = miss / 2
+    while prune_loss(threshold, prune) > miss / 2:
+        prune /= 2
+    return bands_for(threshold, miss / 2), prune
+
+
 def bayes_prune(pairs: DataFrame, threshold: float, miss: float = MISS) -> DataFrame:
     """a and b of the pairs (a, b, sig_a, sig_b) that no batch of minima rules out."""
     steps = least_matches(threshold, miss)
@@ -73,7 +94,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     once; if a key has several texts, each counts. Rows with a null key are left out. Three stages
     are written to the shared folder: fingerprints, surviving pairs and verified pairs.
     """
-    prints = stored(fingerprints(df, key, text).drop("slices"), "prints")
+    shape, prune = miss_shares(threshold, miss)
+    prints = stored(fingerprints(df, key, text, shape).drop("slices"), "prints")
     members = prints.select("key", "cls").distinct()
     # one row per class: the copies are few or many, but the rows that are no representative are
     # named in a table of their own, which the planner broadcasts only if it is small
@@ -88,7 +110,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     sig = nodes.select("cls", "sig")
     cand = cand.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
     cand = cand.join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
-    likely = stored(bayes_prune(cand, threshold, miss), "likely")
+    likely = stored(bayes_prune(cand, threshold, prune), "likely")
     pairs = verified(df, key, text, prints, likely, threshold)
     return NearDuplicates(members, stored(pairs, "pairs"))
 
