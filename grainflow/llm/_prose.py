@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 
 # fixed values: function words by language
@@ -33,7 +32,6 @@ OWN = {w: k for k in LANGS for w in WORDS_OF[k] if sum(w in WORDS_OF[x] for x in
 TAG = re.compile(r"<[^<>\n]{0,400}>")
 ENTITY = re.compile(r"&#?\w{1,10};")
 SYMBOL = re.compile(r"[^\w\s]|_")
-SPACE = re.compile(r"\s+")
 ITEM = re.compile(r"\s*(?:>\s*)*(?:[-*•·o‣–]|\(?\d{1,3}[.)]|<li\b[^>]*>)\s")
 STRIP = "\"'“”„«»‘’.,;:!?()[]{}¿¡…-–—*_#>|​﻿"
 SENTENCE_END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)")
@@ -105,14 +103,13 @@ def repeated_share(text: str) -> float:
     """Share of characters in sentences or lines that occur three times or more, or again."""
     if len(text) < 60:
         return 0.0
-    raw = text.encode("utf-8", "replace")
-    if len(zlib.compress(raw, 1)) > 0.4 * len(raw):  # nothing much occurs twice
-        return 0.0
-    parts = [SPACE.sub(" ", s).strip().lower() for s in SENTENCE_END.split(SPACE.sub(" ", text))]
+    parts = [s.strip() for s in SENTENCE_END.split(" ".join(text.lower().split()))]
     if len(parts) < 3:  # no sentence ends: runs of eight words
         w = words_of(text)
         parts = [" ".join(w[k : k + 8]) for k in range(len(w) - 7)]
     seen = Counter(p for p in parts if len(p) > 12)
+    if all(n == 1 for n in seen.values()):
+        return 0.0
     total = sum(map(len, parts)) or 1
     return sum(len(p) * (n if n > 2 else n - 1) for p, n in seen.items()) / total
 

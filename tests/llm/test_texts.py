@@ -200,3 +200,11 @@ def test_a_third_of_the_rows_is_one_repeated_page(spark):
     stats = text_stats(spark.createDataFrame(rows, "id string, text string"), "id", "text")
     got = not_prose(with_flags(stats, reference(sketches(stats))))
     assert {r["key"] for r in got.collect()} == {f"r{k}" for k in range(40)}
+
+
+def test_repeats_far_apart_are_seen():
+    r = random.Random(6)
+    word = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    block = " ".join(f"The {word()} of the {word()} was {word()} and {word()} in {word()}." for _ in range(1000))
+    assert len(block) > 40_000
+    assert stats_of(block)[6] == 1.0 and stats_of((block + " ") * 4)[6] == 0.0
