@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._prose import COMMON, SENTENCE_END, prose_units
+from ._prose import COMMON, ENTITY, SENTENCE_END, TAG, prose_units, words_of
 from .text_quality import stats_of
 
 MAX_LABELS, MAX_WORDS, WINDOW, RIDGE = 4000, 30_000, 16, 1.0
@@ -80,7 +80,8 @@ def features(text: str, graded: dict[str, float], rarity: dict[str, float]) -> l
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """word and docs, the documents that hold it; counted per batch before the shuffle."""
+    """word and docs, the documents that hold it; counted per batch before the shuffle. Words are cut
+    as in units(), so that these are the words looked up later."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -91,7 +92,7 @@ def word_counts(df: DataFrame, text: str) -> DataFrame:
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    seen.update({w for w in t.lower().split() if w.isalpha()})
+                    seen.update(set(words_of(ENTITY.sub(" ", TAG.sub(" ", t)) if "<" in t or "&" in t else t)))
             if len(seen) > 500_000:
                 yield out()
                 seen.clear()

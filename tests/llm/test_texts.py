@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from grainflow.llm.mixing import actual_shares, budgets, mixed
 from grainflow.llm.packing import best_fit, containers, improve, packed
-from grainflow.llm.reading_level import fit, reading_levels, train
+from grainflow.llm.reading_level import fit, reading_levels, train, word_counts
 from grainflow.llm.subjects import document_subjects
 from grainflow.llm.text_quality import STATS, merged, not_prose, reference, sketches, stats_of, text_stats, with_flags
 from grainflow.llm.token_sizes import count_tokens, encoder, token_sizes
@@ -208,3 +208,9 @@ def test_repeats_far_apart_are_seen():
     block = " ".join(f"The {word()} of the {word()} was {word()} and {word()} in {word()}." for _ in range(1000))
     assert len(block) > 40_000
     assert stats_of(block)[6] == 1.0 and stats_of((block + " ") * 4)[6] == 0.0
+
+
+def test_words_beside_punctuation_are_counted(spark):
+    df = spark.createDataFrame([("l'arbre, (well-known) <b>House</b>.",), ("the house",), (None,), ("",)], "text string")
+    got = {r["word"]: r["docs"] for r in word_counts(df, "text").collect()}
+    assert got == {"l": 1, "arbre": 1, "well-known": 1, "house": 2, "the": 1}
