@@ -2,7 +2,8 @@
 
 Items are dealt by hash into groups of about GROUP items, which are packed independently. Within a
 group a best-fit start is improved: items move, or are exchanged one for one or two for one, from
-emptier into fuller bins whenever that raises the sum of the squared fills, until nothing does.
+emptier into fuller bins whenever that raises the sum of the squared fills, until nothing does. The
+groups' underfull bins are then searched once more together.
 """
 
 from __future__ import annotations
@@ -44,11 +45,20 @@ def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
     The emptiest bin gives: each of its items x moves into a bin with room for it, or goes there in
     exchange for one smaller item or two that together are smaller, the exchange that leaves the
     least room. Each step takes from an emptier into a fuller bin, so the sum of squares grows and
-    the search ends. Bins that are full, or can't give any more, drop out.
+    the search ends. Within a pass, bins that are full, or can't give any more, drop out; passes are
+    repeated until one changes nothing.
     """
     fill = [sum(sizes[k] for k in b) for b in bins]
     items = [sorted((sizes[k], k) for k in b) for b in bins]
-    live = {j for j in range(len(bins)) if fill[j] < capacity * (1 - FULL)}
+    while _pass(items, fill, capacity):
+        pass
+    return [[k for _, k in b] for b in items if b]
+
+
+def _pass(items: list[list[tuple[int, int]]], fill: list[int], capacity: int) -> bool:
+    """One pass of improve() over the bins' sorted items and fills, in place; whether it changed any."""
+    changed = False
+    live = {j for j in range(len(items)) if items[j] and fill[j] < capacity * (1 - FULL)}
     for a in sorted(live, key=lambda j: (fill[j], j)):
         live.discard(a)
         others = sorted(live, key=lambda j: (-fill[j], j))
@@ -83,9 +93,9 @@ def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list
                     delta -= y[0]
                 fill[a] -= delta
                 fill[j] += delta
-                again = True
+                again = changed = True
                 break
-    return [[k for _, k in b] for b in items if b]
+    return changed
 
 
 def _exchange(have: list[tuple[int, int]], x: int, room: int, j: int) -> tuple | None:
@@ -149,20 +159,35 @@ def packed(sizes: DataFrame, specs: DataFrame, group: int = GROUP) -> DataFrame:
     kind = items.schema["doc_id"].dataType.simpleString()
     kind_s = items.schema["spec_id"].dataType.simpleString()
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")  # the result must not depend on the order of arrival
-        sep, capacity = int(pdf["sep_tokens"].iloc[0]), int(pdf["capacity"].iloc[0])
-        bins = pack((pdf["tokens"] + sep).tolist(), capacity)
+    def named(pdf: pd.DataFrame, bins: list[list[int]], name: str) -> pd.DataFrame:
         order = [k for b in bins for k in b]
         number = np.repeat(np.arange(len(bins)), [len(b) for b in bins])
-        out = pdf.iloc[order][["spec_id", "doc_id", "piece", "tokens"]].copy()
+        out = pdf.iloc[order][["spec_id", "doc_id", "piece", "tokens", "capacity", "sep_tokens"]].copy()
+        sep = int(pdf["sep_tokens"].iloc[0])
         fills = np.bincount(number, out["tokens"].to_numpy() + sep, minlength=len(bins)).astype(np.int64) - sep
-        out["container"] = [f"g:{pdf['part'].iloc[0]}:{n}" for n in number]
+        out["container"] = [f"{name}:{n}" for n in number]
         out["fill"] = fills[number]
-        return out[["spec_id", "container", "doc_id", "piece", "tokens", "fill"]]
+        return out[["spec_id", "container", "doc_id", "piece", "tokens", "fill", "capacity", "sep_tokens"]]
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "piece"], kind="stable")  # the result must not depend on the order of arrival
+        sep, capacity = int(pdf["sep_tokens"].iloc[0]), int(pdf["capacity"].iloc[0])
+        return named(pdf, pack((pdf["tokens"] + sep).tolist(), capacity), f"g:{pdf['part'].iloc[0]}")
 
-    rest = items.groupBy("spec_id", "part").applyInPandas(one, f"spec_id {kind_s}, container string, doc_id {kind}, piece int, tokens bigint, fill bigint")
-    return whole.unionByName(rest)
+    def again(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["container", "doc_id", "piece"], kind="stable").reset_index(drop=True)
+        sep, capacity = int(pdf["sep_tokens"].iloc[0]), int(pdf["capacity"].iloc[0])
+        bins = [list(x) for x in pdf.groupby("container").indices.values()]
+        return named(pdf, improve(bins, (pdf["tokens"] + sep).tolist(), capacity), f"r:{pdf['part'].iloc[0]}")
+
+    cols = f"spec_id {kind_s}, container string, doc_id {kind}, piece int, tokens bigint, fill bigint, capacity bigint, sep_tokens int"
+    rest = stored(items.groupBy("spec_id", "part").applyInPandas(one, cols), "packed")
+    # the groups' underfull containers are searched once more together
+    short = F.col("fill") + F.col("sep_tokens") < F.col("capacity") * (1 - FULL)
+    most = rest.where(short).groupBy("spec_id").count().agg(F.max("count")).first()[0] or 0
+    left = rest.where(short).withColumn("part", F.pmod(F.xxhash64("container"), F.lit(max(1, -(-most // group)))))
+    left = left.groupBy("spec_id", "part").applyInPandas(again, cols)
+    return whole.unionByName(rest.where(~short).unionByName(left).drop("capacity", "sep_tokens"))
 
 
 def containers(docs: DataFrame, key: str, text: str, specs: DataFrame, path: str = VOCABULARY) -> DataFrame:

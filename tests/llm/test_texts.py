@@ -214,3 +214,16 @@ def test_words_beside_punctuation_are_counted(spark):
     df = spark.createDataFrame([("l'arbre, (well-known) <b>House</b>.",), ("the house",), (None,), ("",)], "text string")
     got = {r["word"]: r["docs"] for r in word_counts(df, "text").collect()}
     assert got == {"l": 1, "arbre": 1, "well-known": 1, "house": 2, "the": 1}
+
+
+def test_local_search_leaves_no_step_and_groups_exchange(spark):
+    r = random.Random(0)
+    for _ in range(20):
+        sizes = [r.randint(20, 700) for _ in range(120)]
+        once = improve(best_fit(sizes, 1000), sizes, 1000)
+        twice = improve([list(b) for b in once], sizes, 1000)
+        assert sorted(map(sorted, once)) == sorted(map(sorted, twice))
+    rows = spark.createDataFrame([(k, 30) for k in range(200)], "key bigint, tokens bigint")
+    specs = spark.createDataFrame([(1, 600, 0)], "spec_id int, capacity_tokens int, sep_tokens int")
+    got = packed(rows, specs, group=50).toPandas()
+    assert len(got) == 200 and got.container.nunique() == 10
