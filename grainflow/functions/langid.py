@@ -1,11 +1,17 @@
-"""A language identifier as a provider: a function of a text column that gives its language."""
+"""A language identifier as a provider: a function of a text column that gives its language.
+
+The engine's identifier is a naive Bayes classifier over character trigrams, fitted on labelled texts:
+any language that has labels can be told, and no word list is involved."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -13,30 +19,104 @@ from .text import col
 
 Provider = Callable[[Column], Column]
 
-# fixed values: frequent words that tell the language
-TELLING = {
-    "en": "the of and was that is with not but who had how to because said every which while than as so what by before each".split(),
-    "fr": "le les des du et est qui dans pour pas plus avec sans une selon sur cette depuis ans".split(),
-    "de": "der die das und ist ein eine nicht auch von mit wie für den dem noch wichtig jahren sagt".split(),
-    "es": "el los las del y en es por con para más una según hace ya ciudad había cada sin".split(),
-}
+#: hash buckets of trigrams, weight of an unseen one, labelled texts and languages that are used at most
+BUCKETS, UNSEEN, MAX_LABELLED, MAX_LANGS = 1 << 16, 0.5, 50_000, 64
+
+_LETTER: list[np.ndarray] = []
+
+
+def _letters() -> np.ndarray:
+    """Which code points are letters (none lies above the last ideographs)."""
+    if not _LETTER:
+        _LETTER.append(np.fromiter((chr(c).isalpha() for c in range(0x32400)), bool, 0x32400))
+    return _LETTER[0]
+
+
+def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and bucket of each trigram. Texts are lower-cased, whatever is no letter is a
+    blank, blanks in a row are one, and a text begins and ends with one; no letters, no trigrams."""
+    low = [f" {t.lower()} " for t in texts]
+    code = np.frombuffer("".join(low).encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+    doc = np.repeat(np.arange(len(low)), [len(t) for t in low])
+    table = _letters()
+    code = np.where((code < len(table)) & table[np.minimum(code, len(table) - 1)], code, 32)
+    keep = np.ones(len(code), bool)
+    keep[1:] = (code[1:] != 32) | (code[:-1] != 32) | (doc[1:] != doc[:-1])
+    code, doc = code[keep], doc[keep]
+    if len(code) < 3:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    inner = doc[2:] == doc[:-2]
+    h = (((code[:-2] * 961 + code[1:-1] * 31 + code[2:]) * 2654435761) & 0xFFFFFFFF) >> 16
+    return doc[2:][inner], h[inner]
+
+
+class Profiles(NamedTuple):
+    """Languages in ascending order, and the logarithm of each bucket's share by language."""
+
+    langs: tuple[str, ...]
+    table: np.ndarray
+
+    def classify(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score, the chance of it against the others by the mean trigram; und and 0 for
+        null, and for a text without letters. Ties: the first language."""
+        doc, bucket = trigrams([t or "" for t in texts])
+        n = np.bincount(doc, minlength=len(texts))
+        sums = np.stack([np.bincount(doc, self.table[bucket, k], minlength=len(texts)) for k in range(len(self.langs))], 1)
+        best = sums.argmax(1)
+        mean = sums / np.maximum(1, n)[:, None]
+        p = 1 / np.exp(mean - mean.max(1, keepdims=True)).sum(1)
+        return [(self.langs[b], float(q)) if m else ("und", 0.0) for b, q, m in zip(best, p, n, strict=True)]
+
+
+def plain_lang(c: Column | str) -> Column:
+    """A label in lower case without blanks around it; null for an empty one and und."""
+    x = F.lower(F.trim(col(c)))
+    return F.when(~x.isin("", "und"), x)
+
+
+def fit_profiles(docs: DataFrame, text: str, lang: str, limit: int = MAX_LABELLED) -> Profiles | None:
+    """Profiles from at most `limit` texts (by hash) that are labelled with a language, of at most
+    MAX_LANGS languages, those of most texts; None without labels. Wrong labels do little harm."""
+    x = docs.select(F.col(text).alias("text"), plain_lang(lang).alias("lang")).where("length(text) > 0 and lang is not null")
+    x = x.orderBy(F.xxhash64("text"), "text", "lang").limit(limit) if x.count() > limit else x
+    langs = [r["lang"] for r in x.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    if not langs:
+        return None
+
+    def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in got:
+            lang = np.array(b.column(1).to_pylist(), object)
+            for k in dict.fromkeys(lang):
+                _, h = trigrams([t for t, m in zip(b.column(0).to_pylist(), lang == k, strict=True) if m])
+                at, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "bucket", "n"])
+
+    rows = x.where(F.col("lang").isin(langs)).mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    langs = sorted(langs)
+    n = np.zeros((BUCKETS, len(langs)))
+    number = {k: j for j, k in enumerate(langs)}
+    n[rows["bucket"].to_numpy(), [number[k] for k in rows["lang"].to_pylist()]] = rows["n"].to_numpy()
+    return Profiles(tuple(langs), np.log((n + UNSEEN) / (n.sum(0) + UNSEEN * BUCKETS)))
+
 
+def by_profiles(p: Profiles) -> Provider:
+    """The provider of fitted profiles."""
 
-@F.pandas_udf(StringType())
-def function_word_language(s: pd.Series) -> pd.Series:
-    """The language whose telling words occur most (ties: the first of TELLING), und without any."""
-    sets = {k: frozenset(v) for k, v in TELLING.items()}
+    def provide(c: Column) -> Column:
+        @F.pandas_udf(StringType())
+        def lang(s: pd.Series) -> pd.Series:
+            out = pd.Series([None] * len(s), dtype=object)
+            have = np.flatnonzero(s.notna().to_numpy())
+            for lo in range(0, len(have), 256):
+                part = have[lo : lo + 256]
+                out.iloc[part] = [k for k, _ in p.classify([s.iloc[j] for j in part])]
+            return out
 
-    def one(t: str | None) -> str:
-        if not t:
-            return "und"
-        w = t.lower().split()
-        n = {k: sum(map(v.__contains__, w)) for k, v in sets.items()}
-        k = max(n, key=n.get)
-        return k if n[k] else "und"
+        return lang(c)
 
-    return s.map(one)
+    return provide
 
 
-def language(c: Column | str, provider: Provider = function_word_language) -> Column:
-    return provider(col(c))
+def language(c: Column | str, provider: Provider) -> Column:
+    """The language of a text; und for null."""
+    return F.coalesce(provider(col(c)), F.lit("und"))

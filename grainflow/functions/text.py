@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # fixed values: white space and line ends as Python's isspace() and splitlines() have them
 WS = r"\x09-\x0d\x1c-\x20\x85\xa0  -     　"
 LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_ENDS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # fixed values: the navigation bar and footer a page wrapper adds
 WRAP_HEAD = "Home  News  Topics  About  Contact  Login  Search\n\n"
 WRAP_FOOT = "\n\nShare this page  Subscribe for updates  Back to top  Print"
@@ -28,7 +29,7 @@ def char_length(c: Column | str) -> Column:
 
 def symbol_ratio(c: Column | str) -> Column:
     """Share of characters that are no letter, number or white space; null for null, 0 for empty text."""
-    return F.coalesce(F.try_divide(F.length(F.regexp_replace(col(c), rf"[\p{{L}}\p{{N}}{WS}]", "")), F.length(col(c))), F.when(col(c).isNotNull(), F.lit(0.0)))
+    return F.coalesce(F.try_divide(F.length(F.regexp_replace(col(c), rf"[\p{{L}}\p{{N}}{WS}]+", "")), F.length(col(c))), F.when(col(c).isNotNull(), F.lit(0.0)))
 
 
 def lines(c: Column | str) -> Column:
@@ -38,8 +39,12 @@ def lines(c: Column | str) -> Column:
 
 
 def mean_line_length(c: Column | str) -> Column:
-    a = lines(c)
-    return F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + F.length(x)) / F.size(a)
+    """Mean length of lines(), from numbers of characters alone: no list of lines is made."""
+    c = col(c)
+    bare = F.length(F.translate(c, LINE_ENDS, ""))
+    ends = F.length(c) - bare - (F.length(c) - F.length(F.replace(c, F.lit("\r\n"), F.lit("")))) / 2
+    open_ = F.length(F.translate(F.right(c, F.lit(1)), LINE_ENDS, "")) + F.when(F.length(c) == 0, 1).otherwise(0)
+    return bare / (ends + open_)
 
 
 def contains_any(c: Column | str, parts: tuple[str, ...]) -> Column:

@@ -2,109 +2,213 @@
 
 A document is rejected if its nearest earlier kept neighbour has a cosine of the threshold or more
 and, where both have signatures, an estimated Jaccard similarity of the surface threshold or more;
-rejected documents are no neighbours. Only pairs at or above the cosine threshold can matter, so the
-operator first finds these exactly, and then settles the documents in rounds: one whose earlier
-neighbours are all settled is settled itself.
+rejected documents are no neighbours. In batch form only documents with a pair that could reject
+them are in doubt. These pairs come from bands of the signatures; what else lies nearer to a document
+in doubt than the farthest of them is found exactly, within that small radius, by the triangle
+inequality over pivot cells. The documents in doubt are then settled in rounds. Rows of equal vector
+and signature are one node, so copies make no pairs among themselves.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.minhash import jaccard_estimate
 from ..session import stored
+from .places import SAMPLE, bucket_pairs, per_place
 
-PIVOTS = 256
+#: least and most pivots; in between their number grows with the root of the number of vectors
+PIVOTS = (64, 8192)
+#: data rows of a cell that one task holds, and queries that it answers; more are split
+SLICE, QUERIES = 8192, 65_536
+#: bands of two minima of a signature: of pairs with half of 128 minima equal they miss 1e-6
+BANDS = 48
+SLACK = 1e-6
 
 
-def _unit(column: pa.Array, dim: int) -> np.ndarray:
-    x = np.asarray(column.flatten(), np.float64).reshape(-1, dim)
-    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+def _floats(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, dim)
+
+
+def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
 def _angles(x: np.ndarray, v: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(x @ v.T, -1.0, 1.0))
 
 
-def cosine_pairs(df: DataFrame, seq: str, emb: str, threshold: float, part: str | None = None, pivots: int = PIVOTS) -> DataFrame:
-    """i, j, sim: all pairs j < i of seq (unique) with cosine >= threshold, within a part if one is named.
+def _kind(df: DataFrame, emb: str) -> str:
+    return "<f4" if df.schema[emb].dataType.simpleString() == "array<float>" else "<f8"
 
-    Exact. Vectors lie in the cell of their nearest pivot (a bounded sample); by the triangle
-    inequality of angles a vector can only have partners in the cells that its angle to their pivot,
-    less the cell's radius, and half its excess over the nearest pivot, reach. Null vectors, and
-    vectors of another length than the first pivot's, have no partners; all-zero vectors neither.
-    """
-    x = df.select(F.col(seq).alias("seq"), F.col(emb).alias("emb"), (F.col(part) if part else F.lit(0)).cast("int").alias("part")).where(F.exists("emb", lambda v: v != 0))
+
+def vector_rows(df: DataFrame, seq: str, emb: str, part: str | None = None, sig: str | None = None, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
+    """seq, part, node, v, s, bands of each row whose vector is not null and not all zero: a hash of
+    the row's vector, signature and part, the vector and the signature (32-bit, or null) as binary, and
+    a hash of each two minima; of each one where signatures are short or surface is low, which is exact."""
+    x = df.select(F.col(seq).alias("seq"), (F.col(part) if part else F.lit(0)).cast("int").alias("part"), F.col(emb).alias("emb"), (F.col(sig) if sig else F.lit(None).cast("array<bigint>")).alias("sig"))
+    x = x.where(F.exists("emb", lambda v: v != 0))
+    kind = _kind(x, "emb")
+
+    def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        odd = np.uint64(0x9E3779B97F4A7C15)
+        for b in got:
+            emb, sig, part = b.column(2), b.column(3), b.column(1).to_pylist()
+            vs, ss, bands, nodes = [], [], [], []
+            for k in range(b.num_rows):
+                v = np.asarray(emb[k].values.to_numpy(zero_copy_only=False), kind).tobytes()
+                m = None if not sig[k].is_valid or not len(sig[k]) else sig[k].values.to_numpy(zero_copy_only=False).astype(np.uint64)
+                s = None if m is None else m.astype("<u4").tobytes()
+                vs.append(v)
+                ss.append(s)
+                nodes.append(xxhash.xxh3_64_intdigest(v + (s or b"") + str(part[k]).encode()))
+                if m is None:
+                    bands.append([])
+                    continue
+                pairs = len(m) >= 2 * BANDS and surface >= 0.5
+                n = BANDS if pairs else len(m)
+                two = m[1 : 2 * n : 2] if pairs else np.zeros(n, np.uint64)
+                h = (m[0 : 2 * n : 2] if pairs else m) * odd ^ (two + np.arange(n, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+                bands.append(((h ^ (h >> np.uint64(29))) * odd).view(np.int64))
+            cols = [b.column(0), b.column(1), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(vs, pa.binary()), pa.array(ss, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["seq", "part", "node", "v", "s", "bands"])
+
+    return x.mapInArrow(run, f"seq {x.schema['seq'].dataType.simpleString()}, part int, node bigint, v binary, s binary, bands array<bigint>")
+
+
+def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None, pivots: int | None = None) -> DataFrame:
+    """i, j, sim: pairs j < i of x (seq, part, v) within a part. Without asks all of cosine >= least, with
+    asks (seq, least) those that one end asks for. Exact.
+
+    Vectors lie in the cell of their nearest pivot (a bounded sample); by the triangle inequality of
+    angles a vector can only have partners in the cells that its angle to their pivot, less the
+    cell's radius, and half its excess over the nearest pivot, reach. Cells of many vectors are cut into
+    slices, and cells that many ask are repeated."""
+    spark = x.sparkSession
+    seq = x.schema["seq"].dataType.simpleString()
+    none = spark.createDataFrame([], f"i {seq}, j {seq}, sim double")
+    x = x.select("seq", "part", "v")
     n = x.count()
-    share = min(1.0, 4 * pivots / max(1, n))
-    few = x.where(F.pmod(F.xxhash64("seq"), F.lit(1_000_000)) < int(1_000_000 * share) + 1)
-    picked = few.orderBy(F.xxhash64("seq")).limit(pivots).select("emb").toPandas()["emb"]
-    spark = df.sparkSession
-    kind = x.schema["seq"].dataType.simpleString()
+    pivots = pivots or min(PIVOTS[1], max(PIVOTS[0], 4 * isqrt(n)))
+    few = x.where(F.pmod(F.xxhash64("seq"), F.lit(1_000_000)) < int(4e6 * pivots / max(1, n)) + 1)
+    picked = few.orderBy(F.xxhash64("seq")).limit(pivots).select("v").toPandas()["v"]
     if not len(picked):
-        return spark.createDataFrame([], f"i {kind}, j {kind}, sim double")
-    dim = len(picked.iloc[0])
-    v = np.array([p for p in picked if len(p) == dim], np.float64)
-    v /= np.linalg.norm(v, axis=1, keepdims=True)
-    x = x.where(F.size("emb") == dim)
-    reach = float(np.arccos(np.clip(threshold, -1, 1))) + 1e-7
+        return none
+    size = len(picked.iloc[0])
+    dim = size // np.dtype(kind).itemsize
+    v = _unit(np.array([np.frombuffer(p, kind) for p in picked if len(p) == size])).astype(np.float32)
+    x = x.where(F.octet_length("v") == size)
+    names = ["place", "kind", "seq", "v", "least"]
+    schema = f"place bigint, kind int, seq {seq}, v binary, least double"
 
     def place(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in got:
             if b.num_rows:
-                d = _angles(_unit(b.column(1), dim), v)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1))], names=["seq", "emb", "part", "cell", "far"])
+                d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), v)
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1).astype(np.float64))], names=["seq", "part", "cell", "far"])
 
-    placed = stored(x.mapInArrow(place, f"seq {kind}, emb {x.schema['emb'].dataType.simpleString()}, part int, cell int, far double"), "placed")
+    cells = stored(x.mapInArrow(place, f"seq {seq}, part int, cell int, far double"), "cells")
     radius = np.full(len(v), -np.inf)
-    for r in placed.groupBy("cell").agg(F.max("far").alias("far")).collect():  # a number per pivot
-        radius[r["cell"]] = r["far"]
-
-    def route(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    load: dict[tuple[int, int], int] = {}
+    for r in cells.groupBy("part", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect():  # a row per pivot and part
+        radius[r["cell"]] = max(radius[r["cell"]], r["far"])
+        load[r["part"], r["cell"]] = r["n"]
+
+    def visits(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows and cells: what each query must see."""
+        d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), v)
+        reach = np.arccos(np.clip(b.column(3).to_numpy(), -1, 1))[:, None] + 1e-3  # 32-bit angles near 0 are that inexact
+        q, c = np.nonzero((d - radius <= reach) & ((d - d.min(1)[:, None]) / 2 <= reach))
+        return d.argmin(1), q, c
+
+    queries = x.withColumn("least", F.lit(float(least))) if asks is None else x.join(asks, "seq")
+    queries = queries.select("seq", "part", "v", "least")
+
+    def count(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in got:
-            if not b.num_rows:
+            if b.num_rows:
+                _, q, c = visits(b)
+                yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(q)), pa.array(c.astype(np.int32))], names=["part", "cell"])
+
+    sample = queries.where(F.pmod(F.xxhash64("seq", F.lit(5)), F.lit(SAMPLE)) == 0).mapInArrow(count, "part int, cell int")
+    asked = {(r["part"], r["cell"]): r["count"] * SAMPLE for r in sample.groupBy("part", "cell").count().collect()}
+    slices = {k: -(-m // SLICE) for k, m in load.items()}
+    copies = {k: max(1, -(-asked.get(k, 0) // QUERIES)) for k in load}
+    at, place_of = 0, {}
+    for k in sorted(load):
+        place_of[k] = at
+        at += slices[k] * copies[k]
+    sent = spark.sparkContext.broadcast((v, radius, slices, copies, place_of))  # PIVOTS vectors, and numbers per cell and part
+
+    def spread(b: pa.RecordBatch, rows: np.ndarray, cell: np.ndarray, query: bool) -> pa.RecordBatch:
+        """A data row goes to one slice of its cell, in each copy; a query to all slices, in one copy."""
+        _, _, slices, copies, place_of = sent.value
+        parts = b.column(1).to_numpy()
+        h = np.array([xxhash.xxh3_64_intdigest(str(s)) for s in b.column(0).to_pylist()], np.uint64)
+        take, places = [], []
+        for r, c in zip(rows.tolist(), cell.tolist(), strict=True):
+            k = (int(parts[r]), c)
+            if k not in place_of:
                 continue
-            d = _angles(_unit(b.column(1), dim), v)
-            own = b.column(3).to_numpy()
-            visit = (d - radius <= reach) & ((d - d.min(1)[:, None]) / 2 <= reach)
-            # of two cells that see each other, the pair is found in either: each visits, one reports
-            visit[np.arange(len(own)), own] = False
-            q, c = np.nonzero(visit)
-            take = pa.array(np.concatenate((np.arange(len(own)), q)))
-            cells = pa.array(np.concatenate((own, c)).astype(np.int32))
-            home = pa.array(np.concatenate((np.ones(len(own), bool), np.zeros(len(q), bool))))
-            yield pa.RecordBatch.from_arrays([b.column(2).take(take), cells, home, b.column(0).take(take), b.column(1).take(take)], names=["part", "cell", "home", "seq", "emb"])
-
-    def compare(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = pa.Table.from_batches(list(got)).combine_chunks()
-        home = t["home"].to_numpy(zero_copy_only=False)
-        if not home.any():
-            return
-        seq = t["seq"].combine_chunks().to_numpy()
-        e = _unit(t["emb"].combine_chunks(), dim)
-        base, bs = e[home], seq[home]
-        for lo in range(0, len(e), 1024):
-            s = e[lo : lo + 1024] @ base.T
-            y, z = np.nonzero(s >= threshold)
-            a, c, w = seq[lo + y], bs[z], s[y, z]
-            keep = (a > c) if kind != "string" else np.array([p > q for p, q in zip(a, c, strict=True)], bool)
-            away = ~home[lo + y]
-            # a query from another cell reports both directions; the data row's own visit does too
-            i, j = np.where(keep, a, c), np.where(keep, c, a)
-            ok = keep | (away & (a != c))
-            yield pa.RecordBatch.from_arrays([pa.array(i[ok]), pa.array(j[ok]), pa.array(np.round(w[ok], 12))], names=["i", "j", "sim"])
-
-    compare.__annotations__ = {"got": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    routed = placed.mapInArrow(route, f"part int, cell int, home boolean, seq {kind}, emb {x.schema['emb'].dataType.simpleString()}")
-    found = routed.groupBy("part", "cell").applyInArrow(compare, f"i {kind}, j {kind}, sim double")
-    return found.groupBy("i", "j").agg(F.max("sim").alias("sim"))
+            s, m = slices[k], copies[k]
+            own = int(h[r]) % (m if query else s)
+            for j in range(s if query else m):
+                take.append(r)
+                places.append(place_of[k] + (j * m + own if query else own * m + j))
+        t = pa.array(take, pa.int64())
+        kinds = pa.array(np.full(len(take), int(query), np.int32))
+        far = b.column(3).take(t) if query else pa.nulls(len(take), pa.float64())
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), kinds, b.column(0).take(t), b.column(2).take(t), far], names=names)
+
+    def as_data(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in got:
+            if b.num_rows:
+                d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), sent.value[0])
+                yield spread(b, np.arange(b.num_rows), d.argmin(1), False)
+
+    def as_query(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in got:
+            if b.num_rows:
+                _, q, c = visits(b)
+                yield spread(b, q, c, True)
+
+    def build(t: pa.Table) -> tuple:
+        t = t.combine_chunks()
+        e = _unit(_floats(t["v"], dim, kind))
+        return t["seq"].combine_chunks(), e, e.astype(np.float32)
+
+    def ask(index: tuple, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ds, e, e32 = index
+        for lo in range(0, b.num_rows, 1024):
+            part = b.slice(lo, 1024)
+            x, floor = _unit(_floats(part.column(3), dim, kind)), part.column(4).to_numpy()
+            y, z = np.nonzero(x.astype(np.float32) @ e32.T >= floor[:, None] - 1e-5)
+            sim = np.round(np.einsum("ij,ij->i", x[y], e[z]), 12)  # candidates in 32 bits, their cosines in 64
+            ok = sim >= floor[y] - 1e-12
+            a, c = part.column(2).take(pa.array(y[ok])), ds.take(pa.array(z[ok]))
+            yield pa.RecordBatch.from_arrays([a, c, pa.array(sim[ok])], names=["i", "j", "sim"])
+
+    routed = x.select("seq", "part", "v").withColumn("least", F.lit(None).cast("double")).mapInArrow(as_data, schema).unionByName(queries.mapInArrow(as_query, schema))
+    found = per_place(routed, build, ask, f"i {seq}, j {seq}, sim double").where("i <> j")
+    return found.groupBy(F.greatest("i", "j").alias("i"), F.least("i", "j").alias("j")).agg(F.max("sim").alias("sim"))
+
+
+def cosine_pairs(df: DataFrame, seq: str, emb: str, threshold: float, part: str | None = None, pivots: int | None = None) -> DataFrame:
+    """i, j, sim: all pairs j < i of seq (unique) with cosine >= threshold, within a part if one is named.
+
+    Exact. Null and all-zero vectors, and vectors of another length than the first pivot's, have no
+    partners. Each pair is a row, so this is for thresholds that few pairs reach."""
+    return _near(stored(vector_rows(df, seq, emb, part).select("seq", "part", "v"), "vectors"), _kind(df, emb), threshold, pivots=pivots)
 
 
 def with_surface(pairs: DataFrame, df: DataFrame, seq: str, sig: str | None) -> DataFrame:
@@ -116,6 +220,26 @@ def with_surface(pairs: DataFrame, df: DataFrame, seq: str, sig: str | None) ->
     return x.select("i", "j", "sim", jaccard_estimate("s_i", "s_j").alias("surface"))
 
 
+def _measured(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """pairs (i, j) with sim and surface (null if either has no signature), from the nodes' v and s."""
+    seq = nodes.schema["seq"].dataType.simpleString()
+    x = pairs.select("i", "j")
+    for end in ("i", "j"):
+        x = x.join(nodes.select(F.col("seq").alias(end), F.col("v").alias(f"v_{end}"), F.col("s").alias(f"s_{end}")), end)
+
+    def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in got:
+            cols = {c: b.column(b.schema.get_field_index(c)).to_pylist() for c in ("v_i", "v_j", "s_i", "s_j")}
+            sims, same = [], []
+            for vi, vj, si, sj in zip(*cols.values(), strict=True):
+                x, y = np.frombuffer(vi, kind).astype(np.float64), np.frombuffer(vj, kind).astype(np.float64)
+                sims.append(round(float(np.einsum("i,i->", x / np.linalg.norm(x), y / np.linalg.norm(y))), 12) if len(x) == len(y) else None)
+                same.append(None if si is None or sj is None else float((np.frombuffer(si, "<u4") == np.frombuffer(sj, "<u4")).mean()))
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("i")), b.column(b.schema.get_field_index("j")), pa.array(sims, pa.float64()), pa.array(same, pa.float64())], names=["i", "j", "sim", "surface"])
+
+    return x.mapInArrow(run, f"i {seq}, j {seq}, sim double, surface double")
+
+
 def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
     """i, neighbour, dedup_similarity of the rejected documents, from pairs (i, j, sim, surface) j < i.
 
@@ -145,11 +269,51 @@ def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold,
         open_ = left.join(gone.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j", "far", "kill")
 
 
+def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: str | None = None, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
+    """i, neighbour, dedup_similarity of the rows that online dedup rejects."""
+    kind = _kind(df, emb)
+    rows = stored(vector_rows(df, seq, emb, part, sig, surface), "vectors")
+    copied = stored(rows.groupBy("node").agg(F.min("seq").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "copied")
+    copies = stored(rows.select("node", "seq").join(copied, "node"), "copies")
+    nodes = rows.join(copies.where("seq <> first").select("seq"), "seq", "left_anti")
+    full = None
+    if sig is None:
+        near = _near(nodes, kind, threshold)
+    else:
+        bands = nodes.select("seq", "part", F.explode("bands").alias("band"))
+        cand = bucket_pairs(bands, ["part", "band"], "seq").distinct().select(F.col("b").alias("i"), F.col("a").alias("j"))
+        kill = stored(_measured(cand, nodes, kind).where((F.col("sim") >= threshold) & (F.col("surface") >= surface)).select("i", "j", "sim"), "kill")
+        # in doubt: both ends, as a copy of the earlier may come after the later; copies; and what has no signature
+        asks = kill.select(F.explode(F.array("i", "j")).alias("seq"), F.col("sim").alias("least")).unionByName(copied.select(F.col("first").alias("seq"), F.lit(1.0).alias("least")))
+        asks = asks.unionByName(nodes.where("s is null").select("seq", F.lit(float(threshold)).alias("least")))
+        full = stored(asks.groupBy("seq").agg((F.min("least") - SLACK).alias("least")), "asks")
+        near = _near(nodes, kind, threshold, full)
+    near = stored(near.where(F.col("sim") >= threshold), "near")
+    pairs = stored(_measured(near, nodes, kind), "measured") if sig is not None else near.withColumn("surface", F.lit(None).cast("double"))
+    if copied.isEmpty():
+        return settle(pairs, threshold, surface)
+    # between nodes, in both directions, and within a node of several rows
+    both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "sim", "surface"))
+    both = both.unionByName(copied.select(F.col("first").alias("i"), F.col("first").alias("j"), F.lit(1.0).alias("sim"), F.lit(None).cast("double").alias("surface")))
+    all_rows = both.select("i").distinct().join(copies.select(F.col("first").alias("i"), "seq"), "i", "left").select("i", F.coalesce("seq", "i").alias("row"))
+    links = stored(all_rows.join(both, "i"), "links")
+    reps = links.select(F.col("j"), F.col("j").alias("rep")).distinct()
+    while True:
+        each = links.join(reps, "j").where("rep < row").select(F.col("row").alias("i"), F.col("rep").alias("j"), "sim", "surface")
+        gone = stored(settle(each, threshold, surface), "rejected")
+        # the first row of a node stands for it; if that is rejected, its earliest kept row does
+        lost = copies.join(gone.select(F.col("i").alias("first")), "first", "left_semi").join(gone.select(F.col("i").alias("seq")), "seq", "left_anti")
+        late = lost.groupBy(F.col("first").alias("j")).agg(F.min("seq").alias("rep")).join(reps, ["j", "rep"], "left_anti")
+        late = stored(late, "late")
+        if late.isEmpty():
+            return gone
+        reps = stored(reps.unionByName(late), "reps")
+
+
 def online_dedup(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: str | None = None, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
     """df with `neighbour` and `dedup_similarity`, both null for the kept documents. seq is unique and
     not null; a null or all-zero vector is kept and no neighbour."""
-    pairs = with_surface(cosine_pairs(df, seq, emb, threshold, part), df, seq, sig)
-    gone = settle(pairs, threshold, surface)
+    gone = rejected(df, seq, emb, sig, part, threshold, surface)
     return df.join(gone, df[seq] == gone["i"], "left").drop("i")
 
 

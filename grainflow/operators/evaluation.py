@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -100,6 +100,12 @@ def same_decisions(a: DataFrame, b: DataFrame) -> bool:
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
+def speedups(bench: DataFrame, base: Column, rate: str = "docs_per_sec") -> DataFrame:
+    """bench with `speedup`, the rate through that of the row base holds for (the best, if for several)."""
+    b = bench.where(base).agg(F.max(rate).alias("_base"))
+    return bench.join(F.broadcast(b), how="left", on=F.lit(True)).withColumn("speedup", F.try_divide(F.col(rate), F.col("_base"))).drop("_base")  # one row
+
+
 def gates(report: dict[str, float], bars: dict[str, float] = GATES) -> dict[str, bool]:
     """Whether each measured figure reaches its bar; a figure that wasn't measured has no gate."""
     return {k: report[k] >= v for k, v in bars.items() if k in report}

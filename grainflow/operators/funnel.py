@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, CurationConfig
-from ..functions.langid import Provider, function_word_language
+from ..functions.langid import Provider
 from ..session import stored
 from .dedup import online_dedup
+from .embedding import Provider as Embedder
+from .embedding import embedded, hashing_provider
 from .heuristics import with_reason
 from .quality import QualityModel, with_quality
 
-RESULT = "doc_id string, decision string, stage string, reason string, quality_score double, dedup_similarity double, embed_dim int"
+RESULT = "seq bigint, doc_id string, decision string, stage string, reason string, quality_score double, dedup_similarity double, embed_dim int, embedded_chars bigint"
 
 
-def _result(df: DataFrame, decision: str, stage: str, reason, quality=None, similarity=None, dim: int | None = None, seq: str = "seq") -> DataFrame:  # noqa: ANN001
+def _result(df: DataFrame, decision: str, stage: str, reason=None, quality=None, similarity=None, dim: int | None = None) -> DataFrame:  # noqa: ANN001
     null = F.lit(None)
     return df.select(
-        F.col(seq).alias("seq"),
+        "seq",
         F.col("id").cast("string").alias("doc_id"),
         F.lit(decision).alias("decision"),
         F.lit(stage).alias("stage"),
@@ -26,6 +28,7 @@ def _result(df: DataFrame, decision: str, stage: str, reason, quality=None, simi
         (null if quality is None else quality).cast("double").alias("quality_score"),
         (null if similarity is None else similarity).cast("double").alias("dedup_similarity"),
         F.lit(dim).cast("int").alias("embed_dim"),
+        (F.lit(0) if stage == "heuristic" else F.col("chars")).cast("bigint").alias("embedded_chars"),
     )
 
 
@@ -34,34 +37,37 @@ def curate(
     vectors: DataFrame,
     model: QualityModel | None,
     cfg: CurationConfig = DEFAULT,
-    provider: Provider = function_word_language,
+    provider: Provider | None = None,
     sig: str | None = None,
     part: str | None = None,
+    embedder: Embedder = hashing_provider,
 ) -> DataFrame:
     """seq and the terminal state of each document of docs (seq unique, id, text; sig and part if named).
 
-    vectors: id, emb, one row per id. The cheap stages come first: the heuristics are filtered before
-    the vectors are joined. A document without a vector can't pass the last stages: it ends as
-    rejected at quality with reason no_embedding. Null pattern: quality_score only for quality rejects
-    and kept documents, dedup_similarity only for near-duplicates, embed_dim from the quality stage on.
+    vectors: id, emb, one row per id, what is embedded already; what passes the heuristics and has no
+    vector is embedded by the embedder, each text once. The cheap stages come first, and texts are
+    read again only for what must be embedded. Null pattern: quality_score only for quality rejects and
+    kept documents, dedup_similarity only for near-duplicates, embed_dim for kept documents.
     """
-    cols = ["seq", "id", "text", *([sig] if sig else []), *([part] if part else [])]
-    staged = stored(with_reason(docs.select(*dict.fromkeys(cols)), "text", cfg, provider).drop("text"), "heuristic")
-    failed = staged.where("reason is not null")
-    x = staged.where("reason is null").drop("reason").join(vectors.select("id", "emb"), "id", "left")
-    none = x.where("emb is null")
-    scored = stored(with_quality(x.where("emb is not null"), "emb", model), "scored")
+    extra = [c for c in (sig, part) if c]
+    scan = docs.select(*dict.fromkeys(["seq", "id", "text", *extra]))
+    staged = stored(with_reason(scan, "text", cfg, provider).withColumn("chars", F.length("text")).drop("text"), "heuristic")
+    x = staged.where("reason is null").drop("reason")
+    known = vectors.select("id", F.col("emb").cast("array<float>").alias("emb"))
+    misses = x.join(known.select("id"), "id", "left_anti").join(docs.select("seq", "text"), "seq")
+    none = docs.sparkSession.createDataFrame([], "key string, embedding array<float>")
+    fresh, _ = embedded(misses, "text", none, embedder, cfg.embed_dim)
+    have = x.join(known, "id").unionByName(fresh.drop("text").withColumnRenamed("embedding", "emb"))
+    scored = stored(with_quality(have, "emb", model), "scored")
     low = scored.where("low_quality")
     done = online_dedup(scored.where("not low_quality"), "seq", "emb", sig, part, cfg.dedup_cosine_threshold, cfg.dedup_surface_threshold)
     gone, kept = done.where("dedup_similarity is not null"), done.where("dedup_similarity is null")
-    dim = cfg.embed_dim
     q = F.col("quality_score")
     return (
-        _result(failed, "reject", "heuristic", F.col("reason"))
-        .unionByName(_result(none, "reject", "quality", F.lit("no_embedding")))
-        .unionByName(_result(low, "reject", "quality", F.lit("low_quality"), q, dim=dim))
-        .unionByName(_result(gone, "reject", "dedup", F.lit("near_duplicate"), similarity=F.col("dedup_similarity"), dim=dim))
-        .unionByName(_result(kept, "keep", "kept", None, q, dim=dim))
+        _result(staged.where("reason is not null"), "reject", "heuristic", F.col("reason"))
+        .unionByName(_result(low, "reject", "quality", F.lit("low_quality"), q))
+        .unionByName(_result(gone, "reject", "dedup", F.lit("near_duplicate"), similarity=F.col("dedup_similarity")))
+        .unionByName(_result(kept, "keep", "kept", None, q, dim=cfg.embed_dim))
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, CurationConfig
 from ..functions import text as T
-from ..functions.langid import Provider, function_word_language, language
+from ..functions.langid import Provider, language
 
 # fixed values: phrases of boilerplate pages
 BOILERPLATE = ("lorem ipsum", "all rights reserved", "terms of service", "enable javascript")
@@ -26,13 +26,17 @@ def native_reason(c: Column | str, cfg: CurationConfig = DEFAULT) -> Column:
     )
 
 
-def with_reason(df: DataFrame, text: str = "text", cfg: CurationConfig = DEFAULT, provider: Provider = function_word_language) -> DataFrame:
-    """df with `reason`. Null text is an empty text, too_short. The language, the dearest rule, is asked
-    only for the rows that pass the others: a Python function within CASE would see all rows, so the
-    two kinds of rows take two branches."""
+def with_reason(df: DataFrame, text: str = "text", cfg: CurationConfig = DEFAULT, provider: Provider | None = None) -> DataFrame:
+    """df, or a stream, with `reason`. Null text is an empty text, too_short. Everything is one scan: the
+    rules of the JVM come first, and the language, the dearest, gets a text only from the rows that pass
+    them (the others send it a null). Without a provider there is no rule of the language."""
     x = df.withColumn("reason", native_reason(F.coalesce(F.col(text), F.lit("")), cfg))
-    passed = x.where("reason is null").drop("reason").withColumn("reason", F.when(language(text, provider) != cfg.target_language, "wrong_language"))
-    return x.where("reason is not null").unionByName(passed)
+    if provider is None:
+        return x
+    lang = provider(F.when(F.col("reason").isNull(), F.col(text)))
+    x = x.withColumn("_lang", lang)
+    wrong = F.when(F.col("reason").isNull() & (F.coalesce("_lang", F.lit("und")) != cfg.target_language), "wrong_language")
+    return x.withColumn("reason", F.coalesce("reason", wrong)).drop("_lang")
 
 
 def flags(df: DataFrame, text: str = "text", cfg: CurationConfig = DEFAULT) -> DataFrame:

@@ -16,6 +16,19 @@ from .sampling import batches
 BATCH, CHARS = 8, 2000
 REPLY = "struct<scores: array<struct<id: int, score: int>>>"
 
+# fixed values: what a judge may be asked in a minute, and the margin added to the pause between calls
+PER_MINUTE, MARGIN_S = 20, 0.5
+#: the judge's instruction; a provider sends it with temperature 0 and a fixed seed
+RUBRIC = """You grade web documents by how much a reader can learn from them. Each document starts with its number in
+square brackets. Grade every one with a whole number:
+1: nothing to learn - advertising, navigation, link lists, page debris, or text that makes no sense
+2: hardly anything - shallow or mostly promotional
+3: something of use, but not meant to teach
+4: teaches - coherent and informative, as a good article, guide or reference page
+5: teaches thoroughly - complete and well built, as a textbook or an encyclopedia
+Reply with JSON alone: {"scores": [{"id": <number>, "score": <1 to 5>}, ...]}, an entry for each document."""
+TEMPERATURE, SEED = 0.0, 42
+
 #: a prompt -> the reply's JSON
 Judge = Callable[[str], str]
 
@@ -32,7 +45,7 @@ def prompts(docs: DataFrame, order: str, key: str, text: str, size: int = BATCH)
     return got.select("batch", F.array_join(F.transform("rows", lambda r: r["line"]), "\n\n").alias("prompt"), F.transform("rows", lambda r: r["key"]).alias("ids"))
 
 
-def asked(prompt_rows: DataFrame, judge: Judge, pause_s: float = 0.0) -> DataFrame:
+def asked(prompt_rows: DataFrame, judge: Judge, pause_s: float = 60 / PER_MINUTE + MARGIN_S) -> DataFrame:
     """prompt_rows with `reply`; one task asks, with a pause between calls, as the judge's rate is limited."""
     import time
 
@@ -50,6 +63,16 @@ def asked(prompt_rows: DataFrame, judge: Judge, pause_s: float = 0.0) -> DataFra
     return prompt_rows.coalesce(1).mapInArrow(run, schema)
 
 
+def from_labels(prompt_rows: DataFrame, labels: DataFrame, key: str = "doc_id", score: str = "edu_score") -> DataFrame:
+    """prompt_rows with `reply`, as a judge without a network gives it: the least valid score that the labels
+    have for a document; documents without one are left out of the reply."""
+    known = labels.where(F.col(score).between(1, 5)).groupBy(F.col(key).alias("_id")).agg(F.min(score).alias("_score"))
+    each = prompt_rows.select("batch", F.posexplode("ids").alias("id", "_id")).join(known, "_id")
+    lines = each.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct(F.col("id"), F.col("_score").alias("score")))).alias("scores"))  # a prompt's documents
+    none = F.lit('{"scores": []}')
+    return prompt_rows.join(lines.select("batch", F.to_json(F.struct("scores")).alias("reply")), "batch", "left").withColumn("reply", F.coalesce("reply", none))
+
+
 def scores(replies: DataFrame, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text, edu_score, rationale of the valid scores: a number of the batch and a score of 1..5.
     Anything else is ignored, and its document stays unlabelled."""

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stored
+from .sampling import numbered
+
 # fixed values: price of a million embedded tokens, characters per token, bins of the histogram
 PRICE, CHARS_PER_TOKEN, BINS = 0.12, 4, 20
 STAGES = ("heuristic", "quality", "dedup")
@@ -46,12 +49,13 @@ def top_reasons(results: DataFrame, n: int = 10) -> DataFrame:
 
 def latency(results: DataFrame) -> DataFrame:
     """stage, rows, p50 (linear), upper_p50 (the upper median), over valid latencies (finite, not negative)."""
-    good = is_number("latency_ms") & (F.col("latency_ms") >= 0)
-    by = results.where(good).groupBy("stage")
-    # exact percentiles keep a count per distinct value, merged from partial ones, not all rows in a list
-    n = F.count("*")
-    upper = F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY latency_ms DESC)")
-    return by.agg(n.alias("rows"), F.percentile("latency_ms", F.lit(0.5)).alias("p50"), upper.alias("upper_p50"))
+    good = is_number("latency_ms") & (F.col("latency_ms") >= 0) & (F.col("latency_ms") < float("inf"))
+    # numbered over (stage, latency) in range partitions: no stage is gathered, whatever its size
+    x = numbered(results.where(good).select(F.struct("stage", "latency_ms").alias("o")), "o", "rn").select("o.stage", "o.latency_ms", "rn")
+    size = stored(x.groupBy("stage").agg(F.count("*").alias("rows"), F.min("rn").alias("from")), "stages").withColumnRenamed("stage", "_stage")
+    place = F.col("rn") - F.col("from")
+    mid = x.join(F.broadcast(size), F.col("stage").eqNullSafe(F.col("_stage"))).where((place == F.floor((F.col("rows") - 1) / 2)) | (place == F.floor(F.col("rows") / 2)))  # a row per stage
+    return mid.groupBy("stage").agg(F.max("rows").alias("rows"), (F.min("latency_ms") + (F.max("latency_ms") - F.min("latency_ms")) * 0.5).alias("p50"), F.max("latency_ms").alias("upper_p50"))
 
 
 def worst_p50(results: DataFrame) -> DataFrame:
@@ -109,3 +113,24 @@ def throughput(points: DataFrame, t: str, ingested: str, last: int = 60) -> Data
     seconds = F.col("t").cast("double") - F.lag("t").over(w).cast("double")
     d = F.greatest(F.lit(0.0), F.try_divide((F.col("n") - F.lag("n").over(w)).cast("double"), seconds))
     return x.select("t", d.alias("delta")).where("delta is not null")
+
+
+def rates(results: DataFrame, by: list[str], worker: str) -> DataFrame:
+    """by, workers, docs, docs_per_sec: documents through the sum of the valid latencies."""
+    spent = F.sum(F.when(is_number("latency_ms") & (F.col("latency_ms") > 0), F.col("latency_ms")))
+    return results.groupBy(*by).agg(F.count_distinct(worker).alias("workers"), F.count("*").alias("docs"), F.try_divide(F.count("*"), spent / 1000).alias("docs_per_sec"))
+
+
+def scaling(bench: DataFrame) -> DataFrame:
+    """runtime, workers, docs_per_sec of bench rows, in the order a chart draws them."""
+    return bench.select("runtime", "workers", "docs_per_sec").orderBy("runtime", "workers")
+
+
+def throughput_by_runtime(bench: DataFrame) -> DataFrame:
+    """runtime and its best docs_per_sec, the fastest first."""
+    return bench.groupBy("runtime").agg(F.max("docs_per_sec").alias("docs_per_sec")).orderBy(F.desc("docs_per_sec"), "runtime")
+
+
+def precision_recall_points(sweep: DataFrame) -> DataFrame:
+    """threshold, measure, value: the two curves of a threshold sweep."""
+    return sweep.select("threshold", F.explode(F.create_map(F.lit("precision"), F.col("precision"), F.lit("recall"), F.col("recall"))).alias("measure", "value")).orderBy("measure", "threshold")

@@ -6,11 +6,13 @@ import json
 from dataclasses import asdict, dataclass, field
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.vectors import linear, sigmoid
+from ..session import stored
+from .sampling import cumulated, hash_order
 
 
 @dataclass
@@ -70,21 +72,23 @@ def auc(df: DataFrame, score_col: str, label: str = "y") -> DataFrame:
 
     The classes are counted per distinct score first, so the cumulative sum runs over the scores."""
     by = df.groupBy(F.col(score_col).alias("s")).agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("p"), F.sum(F.when(F.col(label) == 0, 1).otherwise(0)).alias("n"))
-    below = F.sum("n").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1))
-    x = by.withColumn("below", F.coalesce(below, F.lit(0)))
+    x = cumulated(by, "s", "n", "below")
     return x.agg(F.try_divide(F.sum(F.col("p") * (F.col("below") + F.col("n") / 2)), F.sum("p").cast("double") * F.sum("n")).alias("auc"))
 
 
-def cross_validated(df: DataFrame, emb: str, key: str, folds: int = 5, label: str = "y") -> list[float]:
-    """The accuracy of each fold; the folds are by the hash of the key."""
-    from .sampling import hash_order
-
+def cross_validated(df: DataFrame, emb: str, key: str, folds: int = 5, label: str = "y") -> dict[str, float | list[float]]:
+    """accuracy and auc of each fold, and their mean and standard deviation; the folds are by the hash of the
+    key. A fold with a single class has no auc and is left out of its mean."""
     f = F.pmod(F.conv(F.substring(hash_order(key), 1, 8), 16, 10).cast("long"), F.lit(folds))
-    x = df.withColumn("_fold", f).cache()
-    out = []
+    x = stored(df.select(F.col(emb).alias("emb"), F.col(label).alias("y"), f.alias("_fold")), "folds")
+    out: dict = {"accuracy": [], "auc": []}
     for k in range(folds):
-        m = train(x.where(F.col("_fold") != k), emb, label)
-        hit = (score(emb, m) >= m.threshold).cast("int") == F.col(label)
-        out.append(x.where(F.col("_fold") == k).agg(F.avg(hit.cast("double")).alias("a")).first()["a"])
-    x.unpersist()
+        m = train(x.where(F.col("_fold") != k), "emb")
+        held = x.where(F.col("_fold") == k).withColumn("_s", score("emb", m))
+        out["accuracy"].append(held.agg(F.avg(((F.col("_s") >= m.threshold).cast("int") == F.col("y")).cast("double")).alias("a")).first()["a"])
+        out["auc"].append(auc(held, "_s").first()["auc"])
+    for name in ("accuracy", "auc"):
+        have = [v for v in out[name] if v is not None]
+        mean = sum(have) / len(have) if have else None
+        out |= {f"{name}_mean": mean, f"{name}_std": (sum((v - mean) ** 2 for v in have) / len(have)) ** 0.5 if have else None}
     return out

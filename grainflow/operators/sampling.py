@@ -12,12 +12,20 @@ from ..session import stored
 def corpus_scan(df: DataFrame, seq: str, key: str, text: str, limit: int = DEFAULT.sample_size) -> DataFrame:
     """The first `limit` rows with text, in order; id is the key, or the order number where it is null."""
     x = df.where(F.length(text) > 0)
-    return x.orderBy(seq).limit(limit).withColumn("id", F.coalesce(F.col(key).cast("string"), F.col(seq).cast("string")))
+    x = x.join(cut_off(x, seq, limit), seq, "left_semi")
+    return x.withColumn("id", F.coalesce(F.col(key).cast("string"), F.col(seq).cast("string")))
+
+
+def cut_off(df: DataFrame, order: str, limit: int) -> DataFrame:
+    """The first `limit` values of a unique order column. Only these values are moved, never the rows:
+    each range partition gives its own, and the offsets of the ranges tell which count."""
+    return numbered(df.select(order), order, "_rn").where(F.col("_rn") <= limit).select(order)
 
 
 def first_passing(df: DataFrame, seq: str, n: int) -> DataFrame:
     """The first n rows without a reason."""
-    return df.where("reason is null").orderBy(seq).limit(n)
+    x = df.where("reason is null")
+    return x.join(cut_off(x, seq, n), seq, "left_semi")
 
 
 def double_capped(df: DataFrame, seq: str, decided: Column, decisions: int = 200, rows: int = 300) -> DataFrame:
@@ -42,6 +50,16 @@ def numbered(df: DataFrame, order: str, name: str = "rn") -> DataFrame:
     return x.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.row_number().over(inner)).drop("_part", "_before")
 
 
+def cumulated(df: DataFrame, order: str, value: str, name: str) -> DataFrame:
+    """df with the sum of value over the rows before, by a unique order, from range partitions and their sums."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = stored(df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = x.groupBy("_part").agg(F.sum(value).alias("_sum"), F.min(order).alias("_from"))
+    offsets = sums.select("_part", (F.sum("_sum").over(Window.orderBy("_from")) - F.col("_sum")).alias("_before"))  # a row per partition
+    inner = F.coalesce(F.sum(value).over(Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return x.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + inner).drop("_part", "_before")
+
+
 def every_nth(df: DataFrame, order: str, n: int = DEFAULT.reject_every) -> DataFrame:
     """Each n-th row by order."""
     return numbered(df, order, "_rn").where(F.col("_rn") % n == 0).drop("_rn")
@@ -63,14 +81,33 @@ def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.75, seed: int = 42) -> DataFrame:
-    """df with `part`, train for the first floor(share * n) rows of each label in hash order, else test.
+    """df with `part`, train for the first floor(share * n) rows of each label in the order of the key's
+    hash, then the key, else test. key is unique; a null label is a label.
 
-    The cut of a label is found on its hash alone: the rows are ranked by percentile thresholds of a
-    60-bit hash, a row per label, so no label is gathered into one task."""
+    The cut of a label is found by hash histograms: rows are counted by label and 12 bits of the hash, and
+    only the bucket in which the cut lies is counted again by the next bits, so no label is gathered or
+    sorted. Labels are few."""
     h = F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("long")
-    x = df.withColumn("_h", h)
-    cut = x.groupBy(F.col(label).alias("_label")).agg(F.expr(f"percentile_approx(_h, {share}, 100000)").alias("_cut"))
-    return x.join(cut, F.col(label).eqNullSafe(F.col("_label"))).select(*df.columns, F.when(F.col("_h") <= F.col("_cut"), "train").otherwise("test").alias("part"))
+    x = stored(df.select(F.col(key).alias("_k"), F.col(label).alias("_l"), h.alias("_h")), "hashes")
+    low = x.groupBy("_l").agg(F.floor(F.count("*") * share).cast("long").alias("_left")).withColumn("_low", F.lit(0).cast("long"))
+    for shift in (48, 36, 24, 12, 0):
+        low = stored(low, "cut")  # a row per label
+        inside = x.join(F.broadcast(low), x["_l"].eqNullSafe(low["_l"])).where((F.col("_h") >= F.col("_low")) & (F.shiftright(F.col("_h") - F.col("_low"), shift) < 4096))
+        each = inside.groupBy(x["_l"].alias("_l"), F.shiftright(F.col("_h") - F.col("_low"), shift).alias("_b")).agg(F.count("*").alias("_n"))
+        upto = each.withColumn("_sum", F.sum("_n").over(Window.partitionBy("_l").orderBy("_b")))  # 4096 rows a label at most
+        upto = low.alias("c").join(upto.alias("u"), F.col("c._l").eqNullSafe(F.col("u._l")), "left").where(F.col("u._sum").isNull() | (F.col("u._sum") <= F.col("c._left")) | (F.col("u._sum") - F.col("u._n") <= F.col("c._left")))
+        full = F.coalesce(F.sum(F.when(F.col("u._sum") <= F.col("c._left"), F.col("u._n"))), F.lit(0))
+        at = F.coalesce(F.min(F.when(F.col("u._sum") > F.col("c._left"), F.col("u._b"))), F.lit(4096))
+        low = upto.groupBy(F.col("c._l").alias("_l"), F.col("c._left").alias("_left"), F.col("c._low").alias("_low")).agg(full.alias("_f"), at.cast("long").alias("_at"))
+        low = low.select("_l", (F.col("_left") - F.col("_f")).alias("_left"), (F.col("_low") + F.shiftleft("_at", shift)).alias("_low"))
+    low = stored(low, "cut")
+    # rows of one 60-bit hash, if any, are told apart by their keys
+    ties = x.join(F.broadcast(low), x["_l"].eqNullSafe(low["_l"])).where("_h = _low and _left > 0").select(x["_l"].alias("_l"), "_k", "_left")
+    rank = F.row_number().over(Window.partitionBy("_l").orderBy("_k"))
+    ties = ties.withColumn("_r", rank).where("_r <= _left").select(F.col("_k"), F.lit(True).alias("_tie"))
+    cut = low.select(F.col("_l").alias("_label"), "_low")
+    out = df.withColumn("_h", h).join(F.broadcast(cut), F.col("_label").eqNullSafe(F.col(label))).join(ties, F.col(key) == F.col("_k"), "left")
+    return out.select(*df.columns, F.when((F.col("_h") < F.col("_low")) | F.col("_tie"), "train").otherwise("test").alias("part"))
 
 
 def weighted_choice(u: Column, choices: list[tuple[str, float]]) -> Column:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -31,15 +33,31 @@ def get_spark(app: str = "grainflow", cpus: int | str = "*", **conf: str) -> Spa
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where that setting is absent and everything runs on one machine (local mode) a temporary
+    folder is made and set; it is removed when the process ends.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="grainflow-")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("a cluster needs spark.checkpoint.dir, a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="grainflow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        at = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+def require_shared(spark: SparkSession, path: str = "") -> str:
+    """Sets spark.checkpoint.dir to path if it is unset. Raises ValueError without either, unless everything
+    runs on this machine."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if path:
+            spark.conf.set("spark.checkpoint.dir", path)
+        elif not spark.sparkContext.master.startswith("local["):
+            raise ValueError("a cluster needs spark.checkpoint.dir (or --shared), a folder that all executors share")
+    return shared_dir(spark)
+
+
 def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     """df, written once as a Parquet table in the shared folder and read back.
 

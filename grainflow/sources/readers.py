@@ -7,21 +7,23 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.vectors import decode_f32
 from ..operators.sampling import weighted_choice
 
 RAW = "id string, text string, source string, meta map<string,string>"
 LABEL = "doc_id string, text string, edu_score int, rationale string"
-# fixed values: the terminal states of the synthetic feed and their weights
+# fixed values: the terminal states of the synthetic feed and their weights; 13 injected documents are spread over four reasons
+INJECTED = 13 / 4
 FEED = (
     ("kept", 86.0),
     ("low_quality", 101.0),
     ("near_duplicate", 14.0),
-    ("too_short", 9 + 13 / 4),
-    ("symbol_ratio", 8 + 13 / 4),
-    ("short_lines", 8 + 13 / 4),
-    ("boilerplate", 7 + 13 / 4),
+    ("too_short", 9 + INJECTED),
+    ("symbol_ratio", 8 + INJECTED),
+    ("short_lines", 8 + INJECTED),
+    ("boilerplate", 7 + INJECTED),
     ("wrong_language", 6.0),
 )
 
@@ -30,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt to all cores if it would be read in fewer tasks than there are: for work on a small table
+    that costs far more than its shuffle. A table of as many splits is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, path: str, fmt: str = "parquet", schema: str | None = None) -> DataFrame:
     """Documents from Parquet, ORC, JSON lines, CSV or text files."""
     r = spark.read.format(fmt)
@@ -73,14 +82,15 @@ def kafka_documents(spark: SparkSession, servers: str, topic: str = "raw-docs",
     return raw.select(F.from_json(F.col("value").cast("string"), RAW).alias("d"), "offset", "partition").select("d.*", "offset", "partition")
 
 
-def file_documents(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_trigger: int = 100) -> DataFrame:
-    """A stream of documents from the files that arrive in a folder."""
-    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_trigger).load(path)
+def file_documents(spark: SparkSession, path: str, schema: str | StructType, fmt: str = "parquet", files_per_trigger: int = 100, only: str | None = None) -> DataFrame:
+    """A stream of documents from the files that arrive in a folder; only: a glob that their names must match."""
+    r = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", files_per_trigger)
+    return (r.option("pathGlobFilter", only) if only else r).load(path)
 
 
 def uniform(value: Column, seed: int = 42) -> Column:
-    """A fixed number 0 <= u < 1 per value."""
-    return F.pmod(F.xxhash64(value, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    """A fixed number 0 <= u < 1 per value: 28 bits of an MD5."""
+    return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), value.cast("string"))), 1, 7), 16, 10).cast("long") / float(1 << 28)
 
 
 def synthetic_feed(spark: SparkSession, rows_per_second: int = 30, seed: int = 42) -> DataFrame:

@@ -53,6 +53,40 @@ def test_cosine_only(spark):
     assert {r["seq"]: r["neighbour"] for r in got} == brute(rows)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_copies_are_nodes(spark, seed):
+    """A third of the rows are copies of one document, others of a few, some with its vector but another signature."""
+    rng = np.random.default_rng(seed)
+    base = rows_of(seed, 40)[:40]
+    rows = []
+    for k in range(150):
+        b = base[0] if rng.random() < 0.34 else base[rng.integers(12)] if rng.random() < 0.5 else base[rng.integers(40)]
+        sig = [9] * 8 if rng.random() < 0.15 else b[3]
+        rows.append((k, f"d{k}", b[2], sig, "x"))
+    got = online_dedup(spark.createDataFrame(rows, SCHEMA), "seq", "emb", "sig").where("neighbour is not null").collect()
+    assert {r["seq"]: r["neighbour"] for r in got} == brute(rows)
+
+
+def test_hot_buckets_and_places_are_split(spark, monkeypatch):
+    from grainflow.operators import dedup, places
+
+    x = spark.createDataFrame([(k, k % 3 if k % 2 else 0) for k in range(300)], "node bigint, bucket int")
+    rows = x.collect()
+    want = {(a["node"], b["node"]) for a in rows for b in rows if a["node"] < b["node"] and a["bucket"] == b["bucket"]}
+    monkeypatch.setattr(places, "SAMPLE", 2)
+    for hot in (20, 10**6):
+        got = [(r["a"], r["b"]) for r in places.bucket_pairs(x, ["bucket"], "node", hot=hot).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    monkeypatch.setattr(dedup, "SLICE", 7)
+    monkeypatch.setattr(dedup, "QUERIES", 11)
+    monkeypatch.setattr(dedup, "SAMPLE", 1)
+    e = np.random.default_rng(2).normal(size=(200, 4))
+    df = spark.createDataFrame([(k, [float(v) for v in y]) for k, y in enumerate(e)], "seq bigint, emb array<double>")
+    u = e / np.linalg.norm(e, axis=1, keepdims=True)
+    want = {(i, j) for i, j in np.argwhere(np.tril(u @ u.T, -1) >= 0.7)}
+    assert {(r["i"], r["j"]) for r in cosine_pairs(df, "seq", "emb", 0.7, pivots=6).collect()} == want
+
+
 def test_second_nearest_does_not_reject(spark):
     e = [1.0, 0.0, 0.0]
     rows = [(1, "a", [0.97, 0.2, 0.0], [1, 1], None), (2, "b", [0.99, -0.1, 0.0], [2, 2], None), (3, "c", e, [1, 1], None)]

@@ -7,7 +7,8 @@ from grainflow.config import CurationConfig
 from grainflow.operators import evaluation, inject, judge, metrics, sampling
 from grainflow.operators.embedding import embedded, hashing_provider
 from grainflow.operators.funnel import conservation, curate, kept_documents
-from grainflow.operators.quality import QualityModel, auc, score, train, with_quality
+from grainflow.operators.quality import QualityModel, auc, cross_validated, score, train, with_quality
+from grainflow.session import stored
 
 RESULT = "doc_id string, decision string, stage string, reason string, quality_score double, dedup_similarity double, embed_dim int, latency_ms double, embedded_chars bigint"
 GOLD = [
@@ -47,19 +48,26 @@ def test_curation_ends_each_document_once(spark, tmp_path):
     d = spark.createDataFrame(docs, "seq bigint, id string, text string, source string")
     v = spark.createDataFrame(vecs, "id string, emb array<float>")
     m = QualityModel([4.0, 0.0], 0.0, 2)
-    got = curate(d, v, m, CurationConfig(embed_dim=2))
+    calls = spark.sparkContext.accumulator(0)
+
+    def embedder(texts, dim):
+        calls.add(len(texts))
+        return np.array([[1.0, 1.0]] * len(texts), np.float32) / 2**0.5
+
+    got = stored(curate(d, v, m, CurationConfig(embed_dim=2), embedder=embedder))
+    assert calls.value == 1  # only the document without a vector
     by = {r["seq"]: (r["decision"], r["stage"], r["reason"]) for r in got.collect()}
     assert by == {
         1: ("keep", "kept", None),
         2: ("reject", "heuristic", "too_short"),
         3: ("reject", "dedup", "near_duplicate"),
         4: ("reject", "quality", "low_quality"),
-        5: ("reject", "quality", "no_embedding"),
+        5: ("keep", "kept", None),
         6: ("reject", "heuristic", "too_short"),
     }
     c = conservation(got).first()
-    assert (c["ingested"], c["kept"], c["conserved"]) == (6, 1, True)
-    assert kept_documents(d, got).first()["id"] == "a"
+    assert (c["ingested"], c["kept"], c["conserved"]) == (6, 2, True)
+    assert sorted(r["id"] for r in kept_documents(d, got).collect()) == ["a", "e"]
     none = curate(d, v, None, CurationConfig(embed_dim=2)).where("seq = 1").first()
     assert none["quality_score"] is None
     p = str(tmp_path / "m.json")
@@ -73,6 +81,8 @@ def test_quality_training(spark):
     df = spark.createDataFrame(rows, "id bigint, emb array<float>, y int")
     m = train(df, "emb")
     assert auc(with_quality(df, "emb", m), "quality_score").first()["auc"] > 0.8
+    cv = cross_validated(df, "emb", "id", 3)
+    assert len(cv["auc"]) == 3 and cv["auc_mean"] == pytest.approx(np.mean(cv["auc"])) and cv["accuracy_std"] == pytest.approx(np.std(cv["accuracy"]))
     with pytest.raises(ValueError):
         train(df.where("y = 1"), "emb")
     x = spark.createDataFrame([(0.1, 0), (0.5, 1), (0.5, 0), (0.9, 1)], "s double, y int")
@@ -111,8 +121,13 @@ def test_variants_prompts_and_samples(spark):
     d = spark.createDataFrame([("a", "t"), ("b", "t"), ("c", "t")], "doc_id string, text string")
     assert [(r["doc_id"], r["edu_score"]) for r in judge.scores(rep, d).collect()] == [("a", 4)]
     assert [r["seq"] for r in sampling.every_nth(many, "seq", 6).orderBy("seq").collect()] == [5, 11, 17]
-    parts = {r["part"]: r["n"] for r in sampling.stratified_split(many.withColumn("y", many.seq % 2), "doc_id", "y").groupBy("part").count().withColumnRenamed("count", "n").collect()}
-    assert sum(parts.values()) == 20 and abs(parts["train"] - 15) <= 2
+    for y, n in ((many.seq % 2, {0: 7, 1: 7}), (many.seq * 0, {0: 15})):
+        cut = sampling.stratified_split(many.withColumn("y", y), "doc_id", "y")
+        assert {r["y"]: r["count"] for r in cut.where("part = 'train'").groupBy("y").count().collect()} == n and cut.count() == 20
+    assert [r["seq"] for r in sampling.cut_off(many, "seq", 3).orderBy("seq").collect()] == [0, 1, 2]
+    known = spark.createDataFrame([("3", 4), ("3", 2), ("5", 9), ("99", 1)], "doc_id string, edu_score int")
+    again = judge.scores(judge.from_labels(judge.prompts(many, "seq", "doc_id", "text"), known), many)
+    assert [(r["doc_id"], r["edu_score"]) for r in again.collect()] == [("3", 2)]
 
 
 def test_parity_and_gates(spark):
@@ -144,3 +159,69 @@ def test_streams(spark, tmp_path):
     t = curation.memory_totals(spark.readStream.schema("stage string, reason string").parquet(res), "totals", None)
     t.awaitTermination(60)
     assert {(r["stage"], r["rows"]) for r in spark.table("totals").collect()} == {("heuristic", 2), ("kept", 1)}
+
+
+SIGNED = "part int, seq bigint, id string, emb array<float>, sig array<bigint>"
+
+
+def test_stream_dedup_with_and_without_signatures_over_batches_and_a_restart(spark, tmp_path):
+    """One mark per kept row, null allowed: the same state whatever the order of rows with and without."""
+    from grainflow.streaming import curation
+
+    src, out, log = (str(tmp_path / x) for x in ("in", "out", "log"))
+    one, other = [1, 2, 3, 4], [5, 6, 7, 8]
+    batches = [
+        [(0, 1, "a", [1.0, 0.0], None), (0, 2, "b", [0.0, 1.0], one), (0, 3, "c", [0.01, 1.0], one)],
+        [(0, 4, "d", [0.01, 0.99], other), (0, 5, "e", [1.0, 0.01], other), (0, 6, "f", None, one), (1, 7, "g", [0.0, 1.0], one)],
+        [(0, 8, "h", [0.0, 1.0], one), (0, 9, "i", [0.0, 1.0], None), (0, 10, "j", [1.0, 1.0, 1.0], one)],
+    ]
+    for k, rows in enumerate(batches):  # a start each, from the checkpoint of the last
+        spark.createDataFrame(rows, SIGNED).coalesce(1).write.mode("append").parquet(src)
+        got = curation.dedup(spark.readStream.schema(SIGNED).parquet(src))
+        q = got.writeStream.format("parquet").option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start()
+        q.awaitTermination(90)
+        assert spark.read.parquet(out).count() == sum(map(len, batches[: k + 1]))
+    by = {r["id"]: r["neighbour"] for r in spark.read.parquet(out).collect()}
+    assert by == {"a": None, "b": None, "c": "b", "d": None, "e": "a", "f": None, "g": None, "h": "b", "i": "b", "j": None}
+
+
+def test_console_push_and_stop(spark, tmp_path):
+    from grainflow.streaming import curation
+
+    res = str(tmp_path / "res")
+    spark.createDataFrame([("reject", "heuristic", "too_short"), ("keep", "kept", None), ("reject", "quality", "low_quality")], "decision string, stage string, reason string").write.parquet(res)
+    rows = spark.readStream.schema("decision string, stage string, reason string").parquet(res)
+    curation.to_console(rows, None).awaitTermination(60)
+    q = curation.memory_totals(rows, "pushed", "100 milliseconds")
+    q.processAllAvailable()
+    got = list(curation.pushed(spark, "pushed", 0.01, 2))[-1]
+    assert got == {"ingested": 3, "kept": 1, "retention_rate": 1 / 3, "rejected_by_stage": {"heuristic": 1, "quality": 1}, "rejected_by_reason": {"too_short": 1, "low_quality": 1}}
+    curation.stop_on_signal(q, ()).set()
+    q.awaitTermination(30)
+    assert not q.isActive
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from grainflow.__main__ import main
+
+    labels = spark.createDataFrame([(f"d{k}", f"text {k}", 1 + k % 5) for k in range(30)], "doc_id string, text string, edu_score int")
+    labels.write.parquet(str(tmp_path / "labels"))
+    cache = str(tmp_path / "cache")
+    for n in (4, 40):
+        assert main(["judge", "--input", str(tmp_path / "labels"), "--known", str(tmp_path / "labels"), "--cache", cache, "--n", str(n)]) == 0
+    assert '"labels": 30' in capsys.readouterr().out
+    rng = np.random.default_rng(1)
+    vec = [(f"d{k}", (rng.normal(size=4) + (k % 5 >= 3) * 2).astype("<f4").tobytes()) for k in range(30)]
+    spark.createDataFrame(vec, "id string, emb binary").write.parquet(str(tmp_path / "vec"))
+    assert main(["train", "--labels", str(tmp_path / "labels"), "--vectors", str(tmp_path / "vec"), "--model", str(tmp_path / "m.json")]) == 0
+    assert "auc_mean" in capsys.readouterr().out and QualityModel.load(str(tmp_path / "m.json")).embed_dim == 4
+
+
+def test_bench_rows_and_chart_frames(spark):
+    b = spark.createDataFrame([("spark", 1, 100.0), ("spark", 4, 350.0), ("other", 1, 50.0)], "runtime string, workers int, docs_per_sec double")
+    got = {(r["runtime"], r["workers"]): r["speedup"] for r in evaluation.speedups(b, (b.runtime == "spark") & (b.workers == 1)).collect()}
+    assert got == {("spark", 1): 1.0, ("spark", 4): 3.5, ("other", 1): 0.5}
+    assert [(r["runtime"], r["workers"]) for r in metrics.scaling(b).collect()] == [("other", 1), ("spark", 1), ("spark", 4)]
+    assert [r["runtime"] for r in metrics.throughput_by_runtime(b).collect()] == ["spark", "other"]
+    sweep = spark.createDataFrame([(0.8, 1.0, 0.9)], "threshold double, precision double, recall double")
+    assert {(r["measure"], r["value"]) for r in metrics.precision_recall_points(sweep).collect()} == {("precision", 1.0), ("recall", 0.9)}

@@ -5,7 +5,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from grainflow.functions import text as T
-from grainflow.functions.langid import language
+from grainflow.functions.langid import by_profiles, fit_profiles, language
 from grainflow.functions.minhash import band_key, from_json, jaccard_estimate, md5_route, permutations, signature, text_signature, to_json
 from grainflow.functions.vectors import cosine, decode_f32, encode_f32, is_vector
 from grainflow.operators.heuristics import with_reason
@@ -42,7 +42,7 @@ def test_reasons_and_their_order(spark):
         "!" * 50: "too_short",
         "lorem ipsum\n" * 30: "short_lines",
     }
-    got = {r["text"]: r["reason"] for r in with_reason(frame(spark, *cases)).collect()}
+    got = {r["text"]: r["reason"] for r in with_reason(frame(spark, *cases), provider=by_profiles(taught(spark))).collect()}
     assert got == cases
 
 
@@ -100,6 +100,31 @@ def test_vectors(spark):
     assert spark.createDataFrame([(b"abc",)], "b binary").select(decode_f32("b").alias("v")).first()["v"] is None
 
 
-def test_language(spark):
-    got = frame(spark, "the cat and the dog", "le chat et les chiens qui", "", None).select(language("text").alias("l")).collect()
-    assert [r["l"] for r in got] == ["en", "fr", "und", "und"]
+TAUGHT = {
+    "en": ["the cat and the dog were in the house", "this is what they would have done with it", "there was nothing else that she could say"],
+    "de": ["der hund und die katze waren nicht im haus", "das ist ein schöner tag für einen spaziergang", "wir haben gestern noch lange darüber gesprochen"],
+    "fi": ["kissa ja koira olivat talossa koko päivän", "tämä on kaunis päivä kävelylle metsässä", "emme ole vielä puhuneet siitä asiasta"],
+    "ru": ["кошка и собака были в доме весь день", "это было очень давно и никто не помнит", "мы ещё не говорили об этом деле"],
+}
+
+
+def taught(spark):
+    rows = [(t, k.upper() if j else f" {k} ") for k, ts in TAUGHT.items() for j, t in enumerate(ts)] + [("xx yy", "und"), ("zz", None), (None, "en"), ("", "de")]
+    return fit_profiles(spark.createDataFrame(rows, "text string, lang string"), "text", "lang")
+
+
+def test_languages_are_learnt_from_labels(spark):
+    p = taught(spark)
+    assert p.langs == ("de", "en", "fi", "ru")
+    cases = {"the dog could have been there": "en", "die katze und der hund sind nicht hier": "de", "koira on metsässä": "fi", "собака не помнит": "ru", "12 34 !": "und", "": "und", None: "und"}
+    got = {r["text"]: r["l"] for r in frame(spark, *cases).select("text", language("text", by_profiles(p)).alias("l")).collect()}
+    assert got == cases
+    assert fit_profiles(spark.createDataFrame([], "text string, lang string"), "text", "lang") is None
+
+
+def test_mean_line_length_counts_as_splitting_does(spark):
+    cases = ["", "a", "ab\n", "a\r\nbcd", "\n\n", "a\x0bb\x1cc d\x85e", "a\n\nb\r", "\r\n", "x\u2028yz\n\r"]
+    got = frame(spark, *cases).select("text", T.mean_line_length("text").alias("m")).collect()
+    for r in got:
+        ls = r["text"].splitlines() or [""]
+        assert r["m"] == sum(map(len, ls)) / len(ls)
