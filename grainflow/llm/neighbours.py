@@ -1,16 +1,19 @@
 """Most similar vectors for every vector, by vantage-point trees per shard.
 
-A sample of the vectors are vantage points: the first of them own the shards, all of them the
-cells, and each cell belongs to the shard of its vantage point (a tree of two many-way levels). Each
-vector is stored in the cell of its nearest vantage point. A query visits a cell only if the triangle
-inequality leaves room for a vector within the search radius: with angles as the metric, it needs
-    d(q, v) - radius(cell) <= reach   and   (d(q, v) - d(q, nearest v)) / 2 <= reach
-where reach is the angle of min_cosine divided by relax. relax = 1 is exact; more visits less.
-A cell whose vantage point lies within the unrelaxed angle is always visited. Vectors with fewer than
-k within that radius search again, each within the angle of its (k + 1)-th nearest vantage point:
-these are vectors too, so k others lie within. Vectors travel as
-16-bit integers scaled to their largest component (an error of some 1e-6 in the cosine), once to their shard and as queries to the
-other shards they visit. Exact copies are one vector: its smallest ids stand for it.
+A sample of the vectors are vantage points of the top level: the first of them own the shards, and each
+vector lives in the shard of its nearest vantage point. A shard, or a slice of a large one, builds a
+vantage-point tree over its own vectors: each node deals them to the nearest of some of them, down to
+leaves of LEAF vectors, whatever the number of vectors. A query visits a child only if the triangle
+inequality leaves room for a vector within its radius: with angles as the metric, it needs
+    d(q, v) - radius(child) <= reach   and   (d(q, v) - d(q, nearest v)) / 2 <= reach
+where reach is the query's radius divided by relax. relax = 1 is exact; more visits less, but always the
+children whose vantage point lies within the radius. The radius is the angle of min_cosine, and shrinks
+to the k-th best of the query's own leaf. Vectors with fewer than k within that radius search again, each
+within the angle of its (k + 1)-th nearest vantage point: these are vectors too, so k others lie within.
+Vectors travel as 16-bit integers scaled to their largest component (an error of some 1e-6 in the cosine),
+once to their shard and as queries to the other shards they visit. A large shard is cut into slices, and
+one that many ask is repeated, so both sides of a dense area are split. Exact copies are one vector: its
+smallest ids stand for it.
 """
 
 from __future__ import annotations
@@ -23,15 +26,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.places import SAMPLE, per_place
 from ..session import stored
 
 DIM, RELAX = 256, 8.0
-#: data rows of a shard that one task compares; a larger shard, as in a dense area, is cut into slices
-SLICE = 65_536
+#: data rows that one task holds, and queries that it answers; a larger shard, as in a dense area, is split
+SLICE, QUERIES = 16_384, 65_536
+#: vectors of a leaf, and most vantage points of a node
+LEAF, FAN = 96, 256
 #: cosine within which all vectors search first; and what is added to an angle, as those of 32-bit cosines are inexact
 FIRST, SLACK = 0.7, 2e-3
-#: least and most vantage points and shards; in between they grow with the number of vectors
-POINTS, SHARDS = (1024, 16_384), (16, 2048)
+#: least and most vantage points and shards of the top level; in between they grow with the number of
+#: vectors. Beyond the most (a table of 64 MB), at some 10^8 vectors, shards have more slices.
+POINTS, SHARDS = (1024, 65_536), (16, 8192)
 
 
 def usable_vectors(df: DataFrame, key: str, emb: str, dim: int = DIM) -> DataFrame:
@@ -89,13 +96,56 @@ class Tree:
         return (lower <= own / relax) | (d <= own), at, own[:, 0]
 
 
+class Node:
+    """A vantage-point tree over the rows lo..hi of x, which it reorders."""
+
+    def __init__(self, x: np.ndarray, order: np.ndarray, lo: int, hi: int) -> None:
+        self.lo, self.hi, self.children = lo, hi, []
+        n = hi - lo
+        if n <= LEAF:
+            return
+        m = min(FAN, max(2, n // (LEAF // 2)))
+        own = x[order[lo:hi]]
+        self.points = own[np.linspace(0, n - 1, m).astype(int)]
+        at = np.empty(n, np.int64)
+        far = np.empty(n, np.float32)
+        for k in range(0, n, 4096):
+            d = angle(own[k : k + 4096], self.points)
+            at[k : k + 4096], far[k : k + 4096] = d.argmin(1), d.min(1)
+        by = np.argsort(at, kind="stable")
+        order[lo:hi] = order[lo:hi][by]
+        ends = np.searchsorted(at[by], np.arange(m + 1))
+        if (np.diff(ends) == n).any():  # vectors that can't be told apart stay one leaf
+            return
+        self.radius = np.full(m, -np.inf)
+        np.maximum.at(self.radius, at, far)
+        self.children = [Node(x, order, lo + a, lo + b) if b > a else None for a, b in zip(ends, ends[1:], strict=False)]
+
+    def search(self, x: np.ndarray, q: np.ndarray, rows: np.ndarray, tau: np.ndarray, relax: float, hit, home: bool = False) -> None:  # noqa: ANN001
+        """Calls hit(rows, lo, hi) for the leaves that the queries q[rows] visit; with home only the nearest one."""
+        if not self.children:
+            hit(rows, self.lo, self.hi)
+            return
+        d = angle(q[rows], self.points)
+        near = d.min(1)
+        if home:
+            seen = np.zeros(d.shape, bool)
+            seen[np.arange(len(rows)), d.argmin(1)] = True
+        else:
+            own = tau[rows][:, None]
+            seen = (np.maximum(d - self.radius, (d - near[:, None]) / 2) <= own / relax) | (d <= own)
+        for k, child in enumerate(self.children):
+            if child is not None and seen[:, k].any():
+                child.search(x, q, rows[seen[:, k]], tau, relax, hit, home)
+
+
 def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float | None = None, relax: float = RELAX, dim: int = DIM, points: int | None = None, shards: int | None = None) -> DataFrame:
     """id, neighbour, cosine, rank: for each usable vector the k most similar others (ties: the smaller
     id), with min_cosine only those of that cosine or more; fewer where there aren't k. A key with
     several different vectors is a vector each, without links to itself. No usable vector gives no rows.
 
-    The tree is fitted on `points` vectors, chosen by their hash: eight per shard, within POINTS; a
-    shard is half a SLICE of vectors, within SHARDS. All vectors are indexed.
+    The top level is fitted on `points` vectors, chosen by their hash: eight per shard, within POINTS; a
+    shard is a quarter of a SLICE of vectors, within SHARDS. All vectors are indexed.
     """
     spark = df.sparkSession
     rows = stored(usable_vectors(df, key, emb, dim), "vectors")
@@ -107,7 +157,7 @@ def nearest(df: DataFrame, key: str, emb: str, k: int = 5, min_cosine: float | N
     # only the copies are shuffled with their vectors
     nodes = rows.join(copied, "h", "left_anti").select("h", "v").unionByName(rows.join(copied, "h", "left_semi").select("h", "v").dropDuplicates(["h"]))
     n = ranked.count()
-    shards = shards or min(SHARDS[1], max(SHARDS[0], 2 * n // SLICE))
+    shards = shards or min(SHARDS[1], max(SHARDS[0], 4 * n // SLICE))
     points = points or min(POINTS[1], max(POINTS[0], 8 * shards))
     share = 4 * points / max(1, n)  # so that each task sends a few candidates, not `points`
     few = nodes.where(F.pmod(F.xxhash64("h"), F.lit(1_000_000)) < F.lit(int(1_000_000 * share)))
@@ -155,121 +205,126 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
     """a, b, cosine: the best k of each query a within each shard slice. With few (h), these alone are
     queries, and each has the radius that holds k others instead of min_cosine."""
     wide = 0 if few is None else k
-    sent = placed.sparkSession.sparkContext.broadcast(tree)
-    sizes = dict(placed.select("cell").groupBy("cell").count().collect())  # a number per vantage point
     load = np.zeros(int(tree.shard.max()) + 1)
-    for c, n in sizes.items():
+    for c, n in placed.select("cell").groupBy("cell").count().collect():  # a number per vantage point
         load[tree.shard[c]] += n
     slices = np.maximum(1, np.ceil(load / SLICE)).astype(int)
+    sent = placed.sparkSession.sparkContext.broadcast(tree)
+    number = len(slices)
+
+    def visited(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """(queries, shards): which shards each visits; and its own."""
+        t, x = sent.value, unit(b.column(1).to_pylist(), dim)
+        out, own = np.zeros((len(x), number), bool), np.empty(len(x), np.int64)
+        for lo in range(0, len(x), 2000):
+            seen, cell, _ = t.visits(x[lo : lo + 2000], reach, relax, wide)
+            own[lo : lo + 2000] = t.shard[cell]
+            q, c = np.nonzero(seen)
+            out[lo + q, t.shard[c]] = True
+        return out, own
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array(np.nonzero(visited(b)[0])[1].astype(np.int32))], names=["shard"])
+
+    queries = nodes.select("h", "v") if few is None else nodes.join(few, "h", "left_semi").select("h", "v")
+    some = queries.where(F.pmod(F.xxhash64("h", F.lit(5)), F.lit(SAMPLE)) == 0).mapInArrow(asked, "shard int")
+    copies = np.ones(number, int)
+    for r in some.groupBy("shard").count().collect():  # a number per shard; it only decides how the work is split
+        copies[r["shard"]] = max(1, -(-r["count"] * SAMPLE // QUERIES))
+
+    def rows_of(b: pa.RecordBatch, r: np.ndarray, place: np.ndarray, kind: int) -> pa.RecordBatch:
+        take = pa.array(r)
+        return pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(np.full(len(r), kind, np.int32)), b.column(0).take(take), b.column(1).take(take)], names=["place", "kind", "h", "v"])
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each vector to its shard's slice as data (cell >= 0), and to all slices of the shards it visits as a query."""
-        t = sent.value
+        """Each vector as data to its slice, in each copy, and as a query to all slices, in one copy, of the
+        shards it visits. Data queries its own slice too (see own), so that isn't sent."""
         for b in batches:
             if not b.num_rows:
                 continue
-            h = b.column(0).to_numpy()
-            x = unit(b.column(1).to_pylist(), dim)
-            out = np.zeros((len(x), len(slices)), bool)
-            cell = np.empty(len(x), np.int64)
-            for lo in range(0, len(x), 2000):
-                seen, cell[lo : lo + 2000], _ = t.visits(x[lo : lo + 2000], reach, relax, wide)
-                for s in range(len(slices)):
-                    out[lo : lo + 2000, s] = seen[:, t.shard == s].any(1)
-            own = t.shard[cell]
-            at = np.abs(h) % slices[own]
-            # data rows query their own slice too, so a query row is needed everywhere else
-            rows, ss, ks = [], [], []
-            for s in range(len(slices)):
-                q = np.flatnonzero(out[:, s])
-                for j in range(slices[s]):
-                    r = q if wide else q[(own[q] != s) | (at[q] != j)]
-                    rows.append(r), ss.append(np.full(len(r), s)), ks.append(np.full(len(r), j))
-            r, s, j = map(np.concatenate, (rows, ss, ks))
-            c = np.full(len(r), -1)
+            h = np.abs(b.column(0).to_numpy())
+            out, shard = visited(b)
             if not wide:
-                r, s, j, c = np.concatenate((np.arange(len(x)), r)), np.concatenate((own, s)), np.concatenate((at, j)), np.concatenate((cell, c))
-            take = pa.array(r)
-            yield pa.RecordBatch.from_arrays([pa.array((s * 100_000 + j).astype(np.int64)), pa.array(c.astype(np.int32)), b.column(0).take(take), b.column(1).take(take)], names=["place", "cell", "h", "v"])
-
-    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each vector to its shard's slice as data alone."""
-        t = sent.value
+                yield from home([b], shard)
+            r, s, j = [], [], []
+            for at in range(number):
+                q = np.flatnonzero(out[:, at])
+                for part in range(slices[at]):
+                    mine = q if wide else q[(shard[q] != at) | (h[q] % slices[at] != part)]
+                    r.append(mine), s.append(np.full(len(mine), at)), j.append(np.full(len(mine), part))
+            r, s, j = map(np.concatenate, (r, s, j))
+            yield rows_of(b, r, (s * 10_000 + j) * 10_000 + (h[r] // 7) % copies[s], 1)
+
+    def home(batches: Iterator[pa.RecordBatch], shard: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                h = b.column(0).to_numpy()
-                cell = np.concatenate([t.home(unit(b.column(1).slice(lo, 2000).to_pylist(), dim))[1] for lo in range(0, b.num_rows, 2000)])
-                own = t.shard[cell]
-                place = own * 100_000 + np.abs(h) % slices[own]
-                yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int64)), pa.array(cell.astype(np.int32)), b.column(0), b.column(1)], names=["place", "cell", "h", "v"])
-
-    def compare(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One place: its data rows, by cell, against its queries, in blocks."""
-        t = sent.value
-        queries: list[pa.RecordBatch] = []
-        data: list[pa.RecordBatch] = []
-        for b in got:
-            c = b.column(1).to_numpy()
-            for to, mask in ((data, c >= 0), (queries, c < 0)):
-                if mask.any():
-                    to.append(b.filter(pa.array(mask)))
-        if not data:
-            return
-        base = pa.Table.from_batches(data)
-        order = np.argsort(base["cell"].to_numpy(), kind="stable")
-        cells, dh = base["cell"].to_numpy()[order], base["h"].to_numpy()[order]
-        dx = unit(base["v"].to_pylist(), dim)[order]
-        starts = np.concatenate(([0], np.flatnonzero(np.diff(cells)) + 1, [len(cells)]))
-        del base
-        for b in queries if wide else [*data, *queries]:
-            step = 256 if wide else 1024
-            for lo in range(0, b.num_rows, step):
-                part = b.slice(lo, step)
-                qh, qx = part.column(2).to_numpy(), unit(part.column(3).to_pylist(), dim)
-                seen, _, radius = t.visits(qx, reach, relax, wide)
-                least = np.cos(radius) if wide else np.full(len(qx), min_cosine)
-                hits_q, hits_d, hits_s = [], [], []
-                for i in range(len(starts) - 1):
-                    q = np.flatnonzero(seen[:, cells[starts[i]]])
-                    if not len(q):
-                        continue
-                    s = qx[q] @ dx[starts[i] : starts[i + 1]].T
-                    low = least[q, None] - 1e-6
-                    if wide and s.shape[1] > k + 1:  # a cell's best k, one more for the query itself, and ties
-                        low = np.maximum(low, np.partition(s, -k - 1, 1)[:, -k - 1, None] - 1e-6)
-                    y, z = np.nonzero(s >= low)
-                    hits_q.append(q[y]), hits_d.append(z + starts[i]), hits_s.append(s[y, z])
-                if not hits_q:
-                    continue
-                a, d, s = np.concatenate(hits_q), np.concatenate(hits_d), np.round(np.concatenate(hits_s).astype(np.float64), 7)
-                keep = (qh[a] != dh[d]) & (s >= least[a])
-                a, d, s = a[keep], d[keep], s[keep]
-                # all ties of the k-th stay, as which of them counts depends on the ids
-                o = np.lexsort((-s, a))
-                a, d, s = a[o], d[o], s[o]
-                first = np.concatenate(([0], np.flatnonzero(np.diff(a)) + 1)) if len(a) else np.zeros(0, int)
-                lens = np.diff(np.concatenate((first, [len(a)])))
-                kth = np.repeat(s[np.minimum(first + k - 1, first + lens - 1)], lens) if len(a) else s
-                ok = s >= kth
-                yield pa.RecordBatch.from_arrays([pa.array(qh[a[ok]]), pa.array(dh[d[ok]]), pa.array(s[ok])], names=["a", "b", "cosine"])
-
-    kinds = "place bigint, cell int, h bigint, v binary"
-    all_v = nodes.select("h", "v")
-    if few is None:
-        routed = all_v.mapInArrow(route, kinds)
-    else:
-        routed = all_v.mapInArrow(home, kinds).unionByName(all_v.join(few, "h", "left_semi").mapInArrow(route, kinds))
-    return routed.groupBy("place").applyInArrow(_per_group(compare), "a bigint, b bigint, cosine double")
-
-
-def _per_group(f):  # noqa: ANN001, ANN202
-    """f as a function of one group's batches."""
-
-    def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from f(got)
-
-    run.__annotations__ = {"got": Iterator[pa.RecordBatch], "return": Iterator[pa.RecordBatch]}
-    return run
+            if not b.num_rows:
+                continue
+            t, h = sent.value, np.abs(b.column(0).to_numpy())
+            own = shard
+            if own is None:
+                own = np.concatenate([t.shard[t.home(unit(b.column(1).slice(lo, 2000).to_pylist(), dim))[1]] for lo in range(0, b.num_rows, 2000)])
+            r = np.repeat(np.arange(b.num_rows), copies[own])
+            copy = np.arange(len(r)) - np.repeat(np.cumsum(copies[own]) - copies[own], copies[own])
+            yield rows_of(b, r, (own[r] * 10_000 + h[r] % slices[own[r]]) * 10_000 + copy, 0)
+
+    def build(t: pa.Table) -> tuple:
+        x = unit(t["v"].to_pylist(), dim)
+        order = np.argsort(t["h"].to_numpy(), kind="stable")  # the tree must not depend on the order of arrival
+        root = Node(x, order, 0, len(order))
+        return root, x[order], t["h"].to_numpy()[order]
+
+    def ask(index: tuple, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        root, dx, dh = index
+        for lo in range(0, b.num_rows, 1024):
+            part = b.slice(lo, 1024)
+            qh, qx = part.column(2).to_numpy(), unit(part.column(3).to_pylist(), dim)
+            every = np.arange(len(qx))
+            radius = np.full(len(qx), reach) if not wide else sent.value.visits(qx, reach, relax, wide)[2]
+            least = np.full(len(qx), min_cosine) if not wide else np.cos(radius)
+            top = np.full((len(qx), k), -2.0, np.float32)
+
+            def first(rows: np.ndarray, a: int, z: int, qh: np.ndarray = qh, qx: np.ndarray = qx, top: np.ndarray = top) -> None:
+                s = qx[rows] @ dx[a:z].T
+                s[qh[rows][:, None] == dh[a:z]] = -2
+                both = np.concatenate((top[rows], s), 1)
+                top[rows] = np.partition(both, both.shape[1] - k, 1)[:, -k:]
+
+            root.search(dx, qx, every, radius, relax, first, home=True)
+            kth = top.min(1)
+            tau = np.minimum(radius, np.arccos(np.clip(kth, -1, 1)) + SLACK)
+            floor = np.maximum(least, kth) - 1e-6
+            q_, d_, s_ = [], [], []
+
+            def hits(rows: np.ndarray, a: int, z: int, qx: np.ndarray = qx, floor: np.ndarray = floor, q_: list = q_, d_: list = d_, s_: list = s_) -> None:
+                s = qx[rows] @ dx[a:z].T
+                y, x = np.nonzero(s >= floor[rows][:, None])
+                q_.append(rows[y]), d_.append(x + a), s_.append(s[y, x])
+
+            root.search(dx, qx, every, tau, relax, hits)
+            if not q_:
+                continue
+            a, d, s = np.concatenate(q_), np.concatenate(d_), np.round(np.concatenate(s_).astype(np.float64), 7)
+            keep = (qh[a] != dh[d]) & (s >= least[a] - (1e-6 if wide else 0))
+            a, d, s = a[keep], d[keep], s[keep]
+            # all ties of the k-th stay, as which of them counts depends on the ids
+            o = np.lexsort((-s, a))
+            a, d, s = a[o], d[o], s[o]
+            start = np.concatenate(([0], np.flatnonzero(np.diff(a)) + 1)) if len(a) else np.zeros(0, int)
+            lens = np.diff(np.concatenate((start, [len(a)])))
+            last = np.repeat(s[np.minimum(start + k - 1, start + lens - 1)], lens) if len(a) else s
+            ok = s >= last
+            yield pa.RecordBatch.from_arrays([pa.array(qh[a[ok]]), pa.array(dh[d[ok]]), pa.array(s[ok])], names=["a", "b", "cosine"])
+
+    def own(b: pa.RecordBatch) -> pa.RecordBatch:
+        return b if not wide and b.num_rows and b.column(0)[0].as_py() % 10_000 == 0 else b.slice(0, 0)
+
+    kinds = "place bigint, kind int, h bigint, v binary"
+    routed = queries.mapInArrow(route, kinds)
+    if wide:
+        routed = nodes.select("h", "v").mapInArrow(home, kinds).unionByName(routed)
+    return per_place(routed, build, ask, "a bigint, b bigint, cosine double", own)
 
 
 def _best_pairs(found: DataFrame, k: int) -> DataFrame:

@@ -173,3 +173,19 @@ def test_bands_propose_pairs_at_the_threshold(spark):
     want = {(f"a{k}", f"b{k}") for k in range(2000) if overlap(shingles(rows[2 * k][1]), shingles(rows[2 * k + 1][1])) >= 0.5}
     got = {(r["id_a"], r["id_b"]) for r in id_pairs(near_duplicates(spark.createDataFrame(rows, "id string, text string"), "id", "text", 0.5)).collect()}
     assert len(want) == 2000 and got <= want and len(got) >= 1990
+
+
+def test_both_sides_of_a_hot_shard_are_split(spark, monkeypatch):
+    """A dense area of more vectors than a slice holds, asked by more queries than a task answers."""
+    import grainflow.llm.neighbours as N
+
+    monkeypatch.setattr(N, "SLICE", 40)
+    monkeypatch.setattr(N, "QUERIES", 60)
+    monkeypatch.setattr(N, "SAMPLE", 1)
+    monkeypatch.setattr(N, "LEAF", 8)
+    vs = vectors(9, 400)
+    df = spark.createDataFrame([(i, v.tobytes()) for i, v in vs], "id string, emb binary")
+    got = nearest(df, "id", "emb", 5, relax=1.0, dim=16, points=30, shards=3)
+    assert got.count() == 2000
+    pairs, want = {(r["id_a"], r["id_b"]) for r in similar_pairs(got).collect()}, brute_nearest(vs, 5, -1)
+    assert len(pairs & want) >= 0.99 * len(want)
