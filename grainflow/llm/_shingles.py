@@ -16,11 +16,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.places import bucket_pairs
+
 WORD = re.compile(r"[^\W_]+")
 SHINGLE, MIN_WORDS = 5, 20
 ROWS, BANDS = 3, 32
 PERMS = ROWS * BANDS
 SLICES = 64  # pivots: one for each slice of the shingle space
+RANGE = 4.0  # ratio of the ends of a range of sizes, the distances to the empty pivot
 CHUNK_WORDS = 400_000
 
 _rng = np.random.default_rng(20240607)
@@ -117,7 +120,7 @@ def fingerprints(df: DataFrame, key: str, text: str, shape: tuple[int, int] = (R
 
     cls is a 64-bit hash of the set of shingles: rows of one cls are exact copies as far as overlap
     goes. n is the number of distinct shingles, bands one hash per band (shape: minima of each, and bands), sig 16 bits of each MinHash
-    minimum, slices the number of distinct shingles in each of SLICES hash slices. Null, empty and
+    minimum, slices the number of distinct shingles in each of SLICES hash slices, at most 255. Null, empty and
     shorter texts, and null keys, give no row. Other columns are ignored.
     """
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text")).where((F.length("text") >= MIN_WORDS) & F.col("key").isNotNull())
@@ -132,12 +135,12 @@ def fingerprints(df: DataFrame, key: str, text: str, shape: tuple[int, int] = (R
                 m = _minima(h, starts)
                 n = np.empty(len(docs), np.int32)
                 cls = np.empty(len(docs), np.uint64)
-                sl = np.empty((len(docs), SLICES), np.uint16)
+                sl = np.empty((len(docs), SLICES), np.uint8)
                 for k in range(len(docs)):
                     u = np.unique(h[starts[k] : starts[k + 1]])
                     n[k] = len(u)
                     cls[k] = xxhash.xxh3_64_intdigest(u.tobytes())
-                    sl[k] = np.minimum(np.bincount((u >> np.uint64(58)).astype(np.int64), minlength=SLICES), 65535)
+                    sl[k] = np.minimum(np.bincount((u >> np.uint64(58)).astype(np.int64), minlength=SLICES), 255)
                 b = np.empty((len(docs), n_bands), np.uint64)
                 for k in range(n_bands):
                     x = np.full(len(docs), k + 1, np.uint64) * _P[SHINGLE + 1]
@@ -197,15 +200,26 @@ def with_overlap(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.mapInArrow(run, f"{kinds}, overlap double")
 
 
-def band_pairs(left: DataFrame, right: DataFrame | None = None, sizes: tuple[float, float] | None = None) -> DataFrame:
-    """Distinct pairs (a, b) of cls that share a band: a < b within left, or a of left and b of right.
+def band_pairs(nodes: DataFrame, sizes: tuple[float, float]) -> DataFrame:
+    """Distinct pairs a < b of cls that share a band, whose n differ by no more than the factors of sizes,
+    which is the triangle inequality at the empty pivot. nodes has one row per cls. The bands of both
+    sides are shuffled once; hot bands are split."""
+    x = nodes.select("cls", "n", F.explode("bands").alias("band"))
+    got = bucket_pairs(x, ["band"], "cls", ("n",))
+    return got.where(F.col("n_b").between(F.col("n_a") * sizes[0], F.col("n_a") * sizes[1])).select("a", "b").distinct()
 
-    left and right have one row per cls. The buckets with a single cls drop out in the join; both
-    sides are shuffled by the band's hash once. sizes = (low, high) keeps only pairs whose n differ
-    by no more than these factors, which is the triangle inequality at the empty pivot.
-    """
-    x = left.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.explode("bands").alias("band"))
-    y = (left if right is None else right).select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.explode("bands").alias("band"))
-    on = F.col("n_b").between(F.col("n_a") * (sizes or (0, 1e18))[0], F.col("n_a") * (sizes or (0, 1e18))[1])
-    got = x.join(y, "band").where(on & (F.col("a") < F.col("b") if right is None else F.lit(True)))
-    return got.select("a", "b").distinct()
+
+def size_range(n: F.Column) -> F.Column:
+    """The number of the range of sizes that n lies in."""
+    return F.floor(F.log(n) / float(log(RANGE)) + 1e-9).cast("int")
+
+
+def range_pairs(new: DataFrame, old: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs (a of new, b of old) of cls that share a band and lie in ranges of sizes that an overlap
+    of the threshold allows. The join is partitioned by band and range: a row of old is in its own range, one
+    of new in the two or so that lie within reach."""
+    key = F.xxhash64("band", "size").alias("key")
+    reach = F.sequence(size_range(F.col("n") * threshold), size_range(F.col("n") / threshold))
+    x = new.select("cls", F.explode("bands").alias("band"), reach.alias("sizes")).select("cls", "band", F.explode("sizes").alias("size")).select("cls", key)
+    y = old.select("cls", size_range(F.col("n")).alias("size"), F.explode("bands").alias("band")).select("cls", key)
+    return bucket_pairs(x, ["key"], "cls", other=y).select("a", "b").distinct()

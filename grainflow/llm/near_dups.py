@@ -106,7 +106,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, threshold: float = THRES
     cols = ["cls", "n", "bands", "sig"]
     nodes = single.select(cols).unionByName(first.select(cols))
     # overlap >= t bounds the sizes to within a factor of t
-    cand = band_pairs(nodes, sizes=(threshold, 1 / threshold))
+    cand = band_pairs(nodes, (threshold, 1 / threshold))
     sig = nodes.select("cls", "sig")
     cand = cand.join(sig.select(F.col("cls").alias("a"), F.col("sig").alias("sig_a")), "a")
     cand = cand.join(sig.select(F.col("cls").alias("b"), F.col("sig").alias("sig_b")), "b")
@@ -127,12 +127,40 @@ def verified(df: DataFrame, key: str, text: str, prints: DataFrame, likely: Data
     return with_overlap(got.select("a", "b", "set_a", "set_b"), "set_a", "set_b").where(F.col("overlap") >= threshold)
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """node, root of the nodes of edges (a, b): root is the least node that a chain of edges leads to.
+
+    Large-star and small-star rounds: each node's larger neighbours are tied to its least one, then its
+    smaller ones, until nothing changes; the rounds grow with the logarithm of the longest chain, and every
+    round is two shuffles of the edges. A node of very many edges is aggregated before its rows meet."""
+    e = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    while True:
+        # large star: every neighbour above a node goes to the least of the node and its neighbours
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # small star: a node and its neighbours below go to the least of them
+        large = stored(large, "large")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        tied = large.join(least, "u")
+        small = stored(tied.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        if small.count() == e.count() and small.exceptAll(e).isEmpty():
+            return small.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(small.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        e = small
+
+
 def class_ids(found: NearDuplicates) -> DataFrame:
-    """key, cls, copies (keys of its class) and links (other classes its class overlaps)."""
-    links = found.pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("links"))
-    size = found.members.groupBy("cls").agg(F.count("*").alias("copies"))
-    out = found.members.join(size, "cls").join(links, "cls", "left")
-    return out.select("key", "cls", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    """key, cls, grp, copies, links of each key with a long enough text: the least key of its class (the keys of
+    equal shingle sets), the least key of its group (what chains of overlaps connect), the keys of its class,
+    and the other classes that its class overlaps."""
+    size = stored(found.members.groupBy("cls").agg(F.count("*").alias("copies"), F.min("key").alias("rep")), "classes")
+    names = size.select("cls", "rep")
+    linked = found.pairs.join(names.select(F.col("cls").alias("a"), F.col("rep").alias("x")), "a").join(names.select(F.col("cls").alias("b"), F.col("rep").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    linked = stored(linked, "links")
+    links = linked.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    whole = size.join(links, "rep", "left").join(components(linked).select(F.col("node").alias("rep"), F.col("root")), "rep", "left")
+    out = found.members.join(whole, "cls")
+    return out.select("key", F.col("rep").alias("cls"), F.coalesce("root", "rep").alias("grp"), "copies", F.coalesce("links", F.lit(0)).alias("links"))
 
 
 def id_pairs(found: NearDuplicates) -> DataFrame:
