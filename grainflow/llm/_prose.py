@@ -36,6 +36,14 @@ ITEM = re.compile(r"\s*(?:>\s*)*(?:[-*•·o‣–]|\(?\d{1,3}[.)]|<li\b[^>]*>)\
 STRIP = "\"'“”„«»‘’.,;:!?()[]{}¿¡…-–—*_#>|​﻿"
 SENTENCE_END = re.compile(r"[.!?…]+[\"'”’»)\]]*(?:\s+|$)")
 UNIT, LEAST_COMMON, NEAR = 40, 0.06, 12
+#: where a text holds hardly any known function words: length of a word that may be one of another language, the
+#: least share of such words in the text, their mean length at most, and the least number of different ones;
+#: scripts other than Latin, whose small words are often written together with others, need a fourth of it
+SHORT, LEAST_GLUE, MEAN_GLUE, KINDS = 4, 0.2, 3.5, 4
+LATIN = re.compile(r"[a-z\u00df-\u024f\u1e00-\u1eff]")
+#: letters of scripts that write no blanks between words, and their sentence marks
+DENSE = re.compile(r"[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
+MARKS = re.compile(r"[\u3001\u3002\uff01\uff0c\uff1f\u104a\u104b\u17d4]")
 
 
 def words_of(text: str) -> list[str]:
@@ -74,11 +82,50 @@ def units(text: str) -> list[tuple[int, list[str], int, bool]]:
     return out
 
 
+def glue_words(us: list[tuple[int, list[str], int, bool]]) -> frozenset[str]:
+    """What holds the sentences of a text together in whatever language: short words without digits that come
+    again and again. Function words are the shortest and most frequent words of every language; a text shows
+    its own."""
+    n: Counter = Counter()
+    for u in us:
+        n.update(w for w in u[1] if len(w) <= SHORT and w.isalpha())
+    total = sum(len(u[1]) for u in us)
+    return frozenset(w for w, c in n.items() if c >= max(2, total / 100))
+
+
+def _foreign(text: str, us: list[tuple[int, list[str], int, bool]]) -> list[bool]:
+    """Which units are sentences of a language without known function words: a dense script with its sentence
+    marks, or lines that end as sentences do and are made of words, in a text that glue_words() hold together."""
+    glue = glue_words(us)
+    words = [w for u in us for w in u[1]]
+    held = [w for w in words if w in glue]
+    latin = len(LATIN.findall(" ".join(words))) > 0.5 * sum(map(len, words))
+    joined = len(held) >= LEAST_GLUE * (1.0 if latin else 0.25) * len(words) and len(glue) >= (KINDS if latin else 1) and sum(map(len, held)) <= MEAN_GLUE * len(held)
+    k, out = 0, []
+    for line in text.splitlines():
+        chars, first, whole = len(line) - line.count(" "), k, 0
+        while k < len(us) and (k == first or whole < chars * 0.98) and (k == first or chars and not line.isspace()):
+            whole += us[k][0]
+            k += 1
+        part = us[first:k]
+        dense = len(DENSE.findall(line))
+        if dense >= 8 and dense >= 0.6 * chars:
+            good = bool(MARKS.search(line)) or dense >= 20
+        else:
+            w = [x for u in part for x in u[1]]
+            letters = sum(not any(c.isdigit() for c in x) for x in w)
+            ended = line.rstrip().rstrip("\"'”’»)]")[-1:] in (".", "!", "?", "…", "।", "۔", "؟")
+            good = joined and len(w) >= 5 and ended and letters >= 0.85 * len(w)
+        out += [good and not u[3] for u in part]
+    return out + [False] * (len(us) - len(out))
+
+
 def prose_units(text: str) -> tuple[list[tuple[int, list[str], int, bool]], list[bool]]:
-    """The units of a text, and whether each is connected sentences.
+    """The units of a text, and whether each is connected sentences, in any language.
 
-    A unit is prose if function words are at least LEAST_COMMON of its words; a short unit is taken
-    with the units next to it in the same block of lines until there are NEAR words.
+    A unit is prose if known function words are at least LEAST_COMMON of its words; a short unit is taken
+    with the units next to it in the same block of lines until there are NEAR words. A text that has
+    hardly any of them is looked at again by _foreign().
     """
     us = units(text)
     ok = []
@@ -96,6 +143,8 @@ def prose_units(text: str) -> tuple[list[tuple[int, list[str], int, bool]], list
             if not grown:
                 break
         ok.append(n > 0 and c >= LEAST_COMMON * n)
+    if sum(u[2] for u in us) < 0.03 * sum(len(u[1]) for u in us):
+        ok = [a or b for a, b in zip(ok, _foreign(text, us), strict=True)]
     return us, ok
 
 

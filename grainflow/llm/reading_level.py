@@ -15,13 +15,15 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._prose import COMMON, ENTITY, SENTENCE_END, TAG, prose_units, words_of
 from .text_quality import stats_of
 
-MAX_LABELS, MAX_WORDS, WINDOW, RIDGE = 4000, 30_000, 16, 1.0
+MAX_LABELS, WINDOW, RIDGE = 4000, 16, 1.0
+BUCKETS = 1 << 20  # of the table of document frequencies: all words count, those of one bucket together
 LEVELS = 5
 # fixed values: English connectives, and words that open a clause
 CONNECTIVES = frozenset(
@@ -33,29 +35,42 @@ OPENERS = frozenset("although because how if insofar that though unless what whe
 FEATURES = ("graded", "graded_low", "graded_high", "rarity", "diversity", "connectives", "depth", "sentence", "letters", "long_words", "length")
 
 
+class _Buckets(dict):
+    """Word -> bucket; emptied when it has grown to a million words."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1_000_000:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "replace")) % BUCKETS
+        return h
+
+
+_BUCKETS = _Buckets()
+
+
 class Model(NamedTuple):
     graded: dict[str, float]
-    rarity: dict[str, float]
+    rarity: np.ndarray
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
     cuts: np.ndarray
 
 
-def prose_words(text: str) -> tuple[list[str], float]:
+def prose_words(text: str, parsed: tuple[list, list[bool]] | None = None) -> tuple[list[str], float]:
     """The words of the connected sentences, and clause marks (commas, semicolons, colons, dashes) per word."""
-    us, ok = prose_units(text)
+    us, ok = parsed or prose_units(text)
     words = [w for u, k in zip(us, ok, strict=True) if k for w in u[1]]
     marks = sum(map(text.count, ",;:—–"))
     return words, marks / max(1, sum(len(u[1]) for u in us))
 
 
-def features(text: str, graded: dict[str, float], rarity: dict[str, float]) -> list[float]:
+def features(text: str, graded: dict[str, float], rarity: np.ndarray, parsed: tuple[list, list[bool]] | None = None) -> list[float]:
     """FEATURES of one text."""
-    words, marks = prose_words(text)
+    words, marks = prose_words(text, parsed)
     n = max(1, len(words))
     g = np.array([graded.get(w, np.nan) for w in words] or [np.nan])
-    r = np.array([rarity.get(w, 1.0) for w in words] or [1.0])
+    r = rarity[[_BUCKETS[w] for w in words]] if words else np.ones(1)
     parts = max(1, n // WINDOW)
     by = np.arange(len(g)) * parts // len(g)
     known = ~np.isnan(g)
@@ -80,35 +95,30 @@ def features(text: str, graded: dict[str, float], rarity: dict[str, float]) -> l
 
 
 def word_counts(df: DataFrame, text: str) -> DataFrame:
-    """word and docs, the documents that hold it; counted per batch before the shuffle. Words are cut
-    as in units(), so that these are the words looked up later."""
+    """bucket and docs, the documents that hold a word of the bucket; counted per task before the shuffle. Words
+    are cut as in units(), so that these are the words looked up later."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "docs"])
-
+        seen = np.zeros(BUCKETS, np.int64)
         for b in batches:
             for t in b.column(0).to_pylist():
                 if t:
-                    seen.update(set(words_of(ENTITY.sub(" ", TAG.sub(" ", t)) if "<" in t or "&" in t else t)))
-            if len(seen) > 500_000:
-                yield out()
-                seen.clear()
-        yield out()
+                    at = {_BUCKETS[w] for w in words_of(ENTITY.sub(" ", TAG.sub(" ", t)) if "<" in t or "&" in t else t)}
+                    seen[np.fromiter(at, np.int64, len(at))] += 1
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["bucket", "docs"])
 
-    return df.select(text).mapInArrow(run, "word string, docs bigint").groupBy("word").agg(F.sum("docs").alias("docs"))
+    return df.select(text).mapInArrow(run, "bucket int, docs bigint").groupBy("bucket").agg(F.sum("docs").alias("docs"))
 
 
-def rarity_table(df: DataFrame, text: str) -> dict[str, float]:
-    """Rarity 0..1 of the MAX_WORDS most frequent words of all documents; others count 1."""
-    rows = word_counts(df, text).orderBy(F.desc("docs"), "word").limit(MAX_WORDS).collect()
-    if not rows:
-        return {}
-    low = np.log(rows[-1]["docs"] + 1) if len(rows) == MAX_WORDS else 0.0
-    top = np.log(rows[0]["docs"] + 1)
-    return {r["word"]: float((top - np.log(r["docs"] + 1)) / max(1e-9, top - low)) for r in rows}
+def rarity_table(df: DataFrame, text: str) -> np.ndarray:
+    """Rarity 0..1 of each bucket of words, from all documents: 0 for the most frequent, 1 for a word that none
+    holds. BUCKETS numbers, whatever the documents."""
+    rows = word_counts(df, text).toArrow()
+    docs = np.zeros(BUCKETS)
+    docs[rows["bucket"].to_numpy()] = rows["docs"].to_numpy()
+    top = np.log(docs.max() + 1)
+    return ((top - np.log(docs + 1)) / max(1e-9, top)).astype(np.float32)
 
 
 def graded_sample(labels: DataFrame, key: str, text: str, score: str, limit: int = MAX_LABELS) -> DataFrame:
@@ -120,7 +130,8 @@ def graded_sample(labels: DataFrame, key: str, text: str, score: str, limit: int
 
 def graded_words(sample: DataFrame) -> dict[int, dict[str, float]]:
     """Per fold left out (and -1, none): word -> mean score of the graded English prose that has it,
-    drawn towards the overall mean. Rows: the distinct words of at most MAX_LABELS documents."""
+    drawn towards the overall mean; words of fewer than three documents don't tell. The words are those of at
+    most MAX_LABELS documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -131,7 +142,7 @@ def graded_words(sample: DataFrame) -> dict[int, dict[str, float]]:
     x = sample.select("text", "score", "fold").mapInArrow(run, "fold int, score double, words array<string>")
     got = x.select("fold", "score", F.explode("words").alias("word")).groupBy("word", "fold").agg(F.count("*").alias("n"), F.sum("score").alias("s"))
     top = got.groupBy("word").agg(F.sum("n").alias("all_n"), F.collect_list(F.struct("fold", "n", "s")).alias("by"))
-    rows = top.where("all_n >= 3").orderBy(F.desc("all_n"), "word").limit(MAX_WORDS).collect()
+    rows = top.where("all_n >= 3").orderBy(F.desc("all_n"), "word").collect()
     out = {}
     for left in (-1, 0, 1):
         use = {r["word"]: [(b["n"], b["s"]) for b in r["by"] if b["fold"] != left] for r in rows}
@@ -141,9 +152,9 @@ def graded_words(sample: DataFrame) -> dict[int, dict[str, float]]:
     return out
 
 
-def usable(text: str) -> bool:
+def usable(text: str, parsed: tuple[list, list[bool]] | None = None) -> bool:
     """English running prose."""
-    s = stats_of(text)
+    s = stats_of(text, parsed)
     return s[0] == "en" and s[6] >= 0.5
 
 
@@ -192,16 +203,17 @@ def reading_levels(df: DataFrame, key: str, text: str, model: Model | None) -> D
     src = df.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = src.schema["key"].dataType.simpleString()
     names = ["key", "lang", "prose_share", "tokens", "level", "demand"]
-    sent = df.sparkSession.sparkContext.broadcast(model)  # at most MAX_WORDS words twice
+    sent = df.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers, and the words of the graded sample
 
     def one(text: str | None) -> tuple:
         if not text or text.isspace():
             return (None, None, 0, None, None)
-        s = stats_of(text)
+        parsed = prose_units(text)
+        s = stats_of(text, parsed)
         m = sent.value
         if s[0] != "en" or s[6] < 0.5 or m is None:
             return (s[0], s[6], len(text.split()), None, None)
-        x = (np.array(features(text, m.graded, m.rarity)) - m.mean) / m.scale
+        x = (np.array(features(text, m.graded, m.rarity, parsed)) - m.mean) / m.scale
         p = 1 / (1 + np.exp(-(float(x @ m.weights) - m.cuts)))
         return (s[0], s[6], len(text.split()), 1 + int((p >= 0.5).sum()), float(p[LEVELS - 3]))
 
