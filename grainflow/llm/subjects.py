@@ -25,8 +25,9 @@ from ..session import stored
 from ._prose import COMMON, ENTITY, TAG, prose_units, repeated_share, words_of
 
 LEAST_DOCS = 3
-MOST_SHARE = 1.0  # of the texts: no word is left out for being frequent, as ODDS rejects those that all subjects share
-ROUNDS, SEED_WEIGHT, PRIOR = 3, 2.0, 1.5
+SEED_WEIGHT, PRIOR = 2.0, 1.5
+#: rounds at most, and the share of verified terms that may change in the last
+ROUNDS, STILL = 12, 0.01
 AGREE, OTHER, HINT, ODDS = 0.6, 0.45, 0.3, 6.0
 SHARE = 0.18
 RUN = 15  # words of a stretch that stands for a sentence where there is no sentence end
@@ -215,20 +216,38 @@ def verified_terms(counts: DataFrame, names: list[str]) -> Terms:
     return Terms(terms, table[0], table[1])
 
 
-def propagate(nodes: DataFrame, names: list[str], rounds: int = ROUNDS) -> Terms:
-    """The verified terms after some rounds."""
-    terms = None
+def changed(a: Terms, b: Terms) -> float:
+    """The share of the sure terms of either that aren't sure of the same subject in both."""
+    sure = [{int(t): int(k) for t, k, p in zip(x.terms, x.sure.argmax(1), x.sure.max(1), strict=False) if p > 0} for x in (a, b)]
+    every = sure[0].keys() | sure[1].keys()
+    return sum(sure[0].get(t) != sure[1].get(t) for t in every) / max(1, len(every))
+
+
+def propagate(nodes: DataFrame, names: list[str], rounds: int = ROUNDS, still: float = STILL) -> Terms:
+    """The verified terms when they hardly change any more: in rounds, until at most `still` of them do. Where
+    labels are few, inferred subjects begin to feed on themselves: a round that changes more than the one
+    before it is not taken, and ends the propagation."""
+    terms, before = None, None
     for _ in range(rounds + 1):
-        terms = verified_terms(stored(counted(nodes, names, terms), "counts"), names)
+        last, terms = terms, verified_terms(stored(counted(nodes, names, terms), "counts"), names)
+        if last is None:
+            continue
+        now = changed(last, terms)
+        if before is not None and now > before:
+            return last
+        if now <= still:
+            break
+        before = now
     return terms
 
 
 def subject_shares(nodes: DataFrame, terms: Terms, names: list[str]) -> DataFrame:
-    """h, subject, share: the part of a text's sentences that treat a subject. A sentence treats
-    the subject its terms speak for most; hints count only for subjects the text has anyway."""
+    """h, subject, share, clamped: the part of a text's sentences that treat a subject, and whether the text is
+    labelled with it. A sentence treats the subject its terms speak for most; hints count only for subjects
+    the text has anyway."""
     sent = nodes.sparkSession.sparkContext.broadcast(terms)  # the verified terms
 
-    def some(keys: pa.Array, seqs: pa.Array) -> pa.RecordBatch:
+    def some(keys: pa.Array, seqs: pa.Array, own: list) -> pa.RecordBatch:
         t = sent.value
         seq = seqs.flatten().to_numpy().astype(np.int64)
         doc = np.repeat(np.arange(len(seqs)), np.diff(seqs.offsets.to_numpy()))
@@ -248,18 +267,20 @@ def subject_shares(nodes: DataFrame, terms: Terms, names: list[str]) -> DataFram
         second = ~first & (rest.max(1) >= HINT)
         share = share + counted(second, rest[second].argmax(1))
         d, s = np.nonzero(share)
-        return pa.RecordBatch.from_arrays([keys.take(pa.array(d)), pa.array([names[k] for k in s], pa.string()), pa.array(share[d, s])], names=["h", "subject", "share"])
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(d)), pa.array([names[k] for k in s], pa.string()), pa.array(share[d, s]), pa.array([names[k] in (own[j] or ()) for j, k in zip(d, s, strict=True)], pa.bool_())], names=["h", "subject", "share", "clamped"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 500):
-                yield some(b.column(0).slice(lo, 500), pa.concat_arrays([b.column(1).slice(lo, 500)]))
+                yield some(b.column(0).slice(lo, 500), pa.concat_arrays([b.column(1).slice(lo, 500)]), b.column(2).slice(lo, 500).to_pylist())
 
-    return nodes.select("h", "seq").mapInArrow(run, "h bigint, subject string, share double")
+    return nodes.select("h", "seq", "own").mapInArrow(run, "h bigint, subject string, share double, clamped boolean")
 
 
 def document_subjects(df: DataFrame, key: str, text: str, labels: DataFrame, label_key: str, subject: str, annotator: str, share: float = SHARE) -> DataFrame:
-    """key, subject, share of each subject that at least `share` of a document's sentences treat.
+    """key, subject, share of each subject that at least `share` of a document's sentences treat. A labelled
+    document keeps a subject of its labels if half as much of it does: the labels are clamped unless the text
+    speaks against them, as some are wrong.
 
     key is unique in df. Documents without text or without connected sentences have none; without
     labels no document has any. Labels of unknown documents are ignored. Copies count as one text."""
@@ -267,5 +288,5 @@ def document_subjects(df: DataFrame, key: str, text: str, labels: DataFrame, lab
     names = sorted(r["s"] for r in seed.select(F.explode("subjects").alias("s")).distinct().collect())  # subjects are few
     rows = stored(term_rows(df, key, text), "term-rows")
     nodes = stored(distinct_texts(rows, seed), "texts")
-    got = subject_shares(nodes, propagate(nodes, names), names).where(F.col("share") >= share)
+    got = subject_shares(nodes, propagate(nodes, names), names).where((F.col("share") >= share) | (F.col("clamped") & (F.col("share") >= share / 2)))
     return rows.select("key", "h").join(got, "h").select("key", "subject", "share")
