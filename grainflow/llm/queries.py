@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .history import refused
+from .history import batch_by_batch, refused
 from .mixing import actual_shares, source_mix
 from .near_dups import class_ids, id_pairs, near_duplicates
 from .neighbours import nearest, similar_pairs
@@ -16,14 +16,21 @@ from .reading_level import reading_levels, train
 from .subjects import document_subjects
 from .text_quality import not_prose, reference, sketches, text_stats, with_flags
 from ..session import stored
+from ..sources import readers
+from .sql import SQL
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose texts are worked on in Python, dealt to all cores if it is small."""
+    return readers.spread(table(spark, sf_dir, name))
+
+
 def p1_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, labels = table(spark, sf_dir, "raw_docs"), table(spark, sf_dir, "judge_labels")
+    raw, labels = texts(spark, sf_dir, "raw_docs"), table(spark, sf_dir, "judge_labels")
     got = reading_levels(raw, "id", "text", train(raw, "text", labels, "doc_id", "text", "edu_score"))
     return got.withColumnRenamed("key", "id")
 
@@ -33,22 +40,27 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = table(spark, sf_dir, "raw_docs")
+    raw = texts(spark, sf_dir, "raw_docs")
     return id_pairs(near_duplicates(raw, "id", "text", 0.5))
 
 
 def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = class_ids(near_duplicates(table(spark, sf_dir, "raw_docs"), "id", "text"))
-    return got.select(F.col("key").alias("id"), "cls", "copies", "links")
+    got = class_ids(near_duplicates(texts(spark, sf_dir, "raw_docs"), "id", "text"))
+    return got.withColumnRenamed("key", "id")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batch, clean = table(spark, sf_dir, "batch_docs"), table(spark, sf_dir, "clean_docs")
+    batch, clean = texts(spark, sf_dir, "batch_docs"), texts(spark, sf_dir, "clean_docs")
     return refused(batch, clean, "seq", ["batch_no", "seq"], "text", "id", 0.5)
 
 
+def p3_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    batch, clean = texts(spark, sf_dir, "batch_docs"), texts(spark, sf_dir, "clean_docs")
+    return batch_by_batch(batch, clean, "batch_no", "seq", ["batch_no", "seq"], "text", "id", 0.5)
+
+
 def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = stored(text_stats(table(spark, sf_dir, "raw_docs"), "id", "text"), "stats")
+    stats = stored(text_stats(texts(spark, sf_dir, "raw_docs"), "id", "text"), "stats")
     return with_flags(stats, reference(sketches(stats))).withColumnRenamed("key", "id")
 
 
@@ -56,6 +68,11 @@ def p4_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _quality(spark, sf_dir)
 
 
+def p4_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = text_stats(texts(spark, sf_dir, "raw_docs").select("seq", "text"), "seq", "text")
+    return stats.select(F.col("key").alias("seq"), "words", *(F.round(c, 9).alias(c) for c in ("mean_word_length", "symbol_ratio", "line_end_share")))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return not_prose(_quality(spark, sf_dir)).select("id").distinct()
 
@@ -69,7 +86,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return containers(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
+    return containers(texts(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "pack_specs"))
 
 
 def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +97,7 @@ def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, targets = table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
+    docs, targets = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_targets")
     return source_mix(docs, "doc_id", "text", "source", targets).withColumnRenamed("key", "doc_id")
 
 
@@ -90,7 +107,7 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")
+    docs, labels = texts(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")
     return document_subjects(docs, "doc_id", "text", labels, "doc_id", "subject", "annotator").withColumnRenamed("key", "doc_id")
 
 
@@ -107,4 +124,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

@@ -6,8 +6,8 @@ import re
 import numpy as np
 import pytest
 
-from grainflow.llm.history import History, refused
-from grainflow.llm.near_dups import class_ids, id_pairs, least_matches, miss_shares, near_duplicates, prune_loss
+from grainflow.llm.history import History, batch_by_batch, refused
+from grainflow.llm.near_dups import class_ids, components, id_pairs, least_matches, miss_shares, near_duplicates, prune_loss
 from grainflow.llm.neighbours import nearest, similar_pairs
 
 WORD = re.compile(r"[^\W_]+")
@@ -52,6 +52,14 @@ def test_near_duplicates_against_all_pairs(spark):
     for a in members:
         assert members[a]["copies"] == sum(s[a] == s[b] for b in members)
         assert members[a]["links"] == len({frozenset(s[b]) for b in members if s[b] != s[a] and overlap(s[a], s[b]) >= 0.5})
+        assert members[a]["cls"] == min(b for b in members if s[b] == s[a])
+        reached, open_ = {a}, [a]
+        while open_:
+            x = open_.pop()
+            more = {b for b in members if b not in reached and overlap(s[x], s[b]) >= 0.5}
+            reached |= more
+            open_ += more
+        assert members[a]["grp"] == min(reached)
 
 
 def test_no_rows(spark):
@@ -96,6 +104,56 @@ def test_batches_against_history(spark, tmp_path):
         one |= bad
         store.append(part.where(~part.seq.isin(list(bad) or [-1])), "seq", "text")
     assert one == want
+    assert {(r["batch_no"], r["seq"]) for r in batch_by_batch(b, h, "batch_no", "seq", ["seq"], "text", "id", 0.5).collect()} == {(r[1], r[0]) for r in rows if r[0] in want}
+
+
+def test_the_table_keeps_what_was_appended(spark, tmp_path):
+    """A check reads only the folders of the ranges within reach, and old texts only where no sets are kept."""
+    old = spark.createDataFrame([(f"s{k}", " ".join(f"a{k}x{j}" for j in range(30))) for k in range(5)] + [(f"l{k}", " ".join(f"b{k}x{j}" for j in range(3000))) for k in range(5)], "id string, text string")
+    store = History(spark, str(tmp_path / "h"), 0.8)
+    for part in ("id < 'm'", "id > 'm'"):
+        store.append(old.where(part), "id", "text")
+    assert store.table().count() == 10 and store.table().select("size").distinct().count() >= 2
+    new = spark.createDataFrame([(1, " ".join(f"a3x{j}" for j in range(30)) + " more"), (2, " ".join(f"c{j}" for j in range(30)))], "seq bigint, text string")
+    assert [r["seq"] for r in store.check(new, "seq", "text", ["seq"]).collect()] == [1]
+    bare = History(spark, str(tmp_path / "b"), 0.8, sets=False)
+    bare.append(old, "id", "text")
+    assert [r["seq"] for r in bare.check(new, "seq", "text", ["seq"], (old, "id", "text")).collect()] == [1]
+    assert bare.check(new.limit(0), "seq", "text", ["seq"], (old, "id", "text")).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    edges = [(k, k + 1) for k in range(40)] + [(100 + rng.randrange(60), 100 + rng.randrange(60)) for _ in range(40)] + [(300, 200 + k) for k in range(50)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        if a != b:
+            root[max(x, y)] = min(x, y)
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_a_band_that_a_third_of_the_texts_share(spark, monkeypatch):
+    """Pages of one template: hot bands are split, and no pair is lost."""
+    from grainflow.operators import places
+
+    monkeypatch.setattr(places, "SAMPLE", 1)
+    monkeypatch.setattr(places.bucket_pairs, "__defaults__", ((), 10, None))
+    rng = random.Random(3)
+    frame = [f"t{j}" for j in range(40)]
+    rows = [(f"p{k:02d}", " ".join(frame + [f"u{rng.randrange(10**6)}" for _ in range(rng.choice((10, 60)))])) for k in range(40)] + [(f"q{k:02d}", " ".join(f"v{rng.randrange(10**6)}" for _ in range(50))) for k in range(60)]
+    s = {k: shingles(t) for k, t in rows}
+    want = {(a, b) for a in s for b in s if a < b and overlap(s[a], s[b]) >= 0.5}
+    assert {(r["id_a"], r["id_b"]) for r in id_pairs(near_duplicates(spark.createDataFrame(rows, "id string, text string"), "id", "text", 0.5)).collect()} == want
 
 
 def vectors(seed, n=300, dim=16):
