@@ -66,7 +66,7 @@ def bucket_pairs(x: DataFrame, buckets: list[str], node: str, carry: tuple[str,
     side is dealt by hash, the other goes to all parts."""
     y = x if other is None else other
     near = x.where(F.pmod(F.xxhash64(node, F.lit(11)), F.lit(SAMPLE)) == 0).groupBy(*buckets).agg(F.count("*").alias("_n"))
-    ways = stored(near.where(F.col("_n") >= max(2, hot // SAMPLE // 2)).select(*buckets, F.ceil(F.col("_n") * SAMPLE / hot).alias("_ways")), "hot")
+    ways = near.where(F.col("_n") >= max(2, hot // SAMPLE // 2)).select(*buckets, F.ceil(F.col("_n") * SAMPLE / hot).alias("_ways"))
 
     def joined(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         a = left.select(*on, F.col(node).alias("a"), *(F.col(c).alias(f"{c}_a") for c in carry))
@@ -76,6 +76,7 @@ def bucket_pairs(x: DataFrame, buckets: list[str], node: str, carry: tuple[str,
 
     if ways.isEmpty():
         return joined(x, y, buckets)
+    ways = stored(ways, "hot")
     cold = joined(x.join(ways, buckets, "left_anti"), y if other is not None else x.join(ways, buckets, "left_anti"), buckets)
     left = x.join(ways, buckets).withColumn("_part", F.pmod(F.xxhash64(node, F.lit(3)), F.col("_ways"))).drop("_ways")
     right = y.join(ways, buckets).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_ways") - 1))).drop("_ways")

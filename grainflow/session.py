@@ -30,6 +30,10 @@ def get_spark(app: str = "grainflow", cpus: int | str = "*", **conf: str) -> Spa
     return spark
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it in spark.checkpoint.dir.
 
@@ -38,7 +42,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        if not spark.sparkContext.master.startswith("local["):
+        if not _one_machine(spark):
             raise ValueError("a cluster needs spark.checkpoint.dir, a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="grainflow-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -53,7 +57,7 @@ def require_shared(spark: SparkSession, path: str = "") -> str:
     if not spark.conf.get("spark.checkpoint.dir", None):
         if path:
             spark.conf.set("spark.checkpoint.dir", path)
-        elif not spark.sparkContext.master.startswith("local["):
+        elif not _one_machine(spark):
             raise ValueError("a cluster needs spark.checkpoint.dir (or --shared), a folder that all executors share")
     return shared_dir(spark)
 
