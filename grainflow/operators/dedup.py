@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions.minhash import jaccard_estimate
-from ..session import stored
+from ..session import stored, stored_counted
 from .places import SAMPLE, bucket_pairs, per_place
 
 #: least and most pivots; in between their number grows with the root of the number of vectors
@@ -199,7 +199,7 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
             yield pa.RecordBatch.from_arrays([a, c, pa.array(sim[ok])], names=["i", "j", "sim"])
 
     routed = x.select("seq", "part", "v").withColumn("least", F.lit(None).cast("double")).mapInArrow(as_data, schema).unionByName(queries.mapInArrow(as_query, schema))
-    found = per_place(routed, build, ask, f"i {seq}, j {seq}, sim double").where("i <> j")
+    found = per_place(routed, at, build, ask, f"i {seq}, j {seq}, sim double").where("i <> j")
     return found.groupBy(F.greatest("i", "j").alias("i"), F.least("i", "j").alias("j")).agg(F.max("sim").alias("sim"))
 
 
@@ -259,12 +259,12 @@ def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold,
         place = F.struct("far", "j")
         x = x.withColumn("best", F.min(F.when(F.col("open").isNull(), place)).over(own)).where(F.col("best").isNull() | (place <= F.col("best")))
         x = x.withColumn("waits", F.max(F.coalesce("open", F.lit(False))).over(own)).withColumn("risk", F.max("kill").over(own))
-        x = stored(x.select("i", "j", "far", "kill", "waits", "risk"), "round")
+        x, n = stored_counted(x.select("i", "j", "far", "kill", "waits", "risk"), "round", left=F.count_if(F.col("waits") & F.col("risk")))
         gone = x.where("kill and not waits")  # what is left of such a document is its nearest kept neighbour
         out = out.unionByName(gone.select("i", F.col("j").alias("neighbour"), (-F.col("far")).alias("dedup_similarity")))
-        left = x.where("waits and risk")
-        if left.isEmpty():
+        if not n["left"]:
             return out
+        left = x.where("waits and risk")
         # a rejected document is no neighbour
         open_ = left.join(gone.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j", "far", "kill")
 
@@ -273,10 +273,11 @@ def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: st
     """i, neighbour, dedup_similarity of the rows that online dedup rejects."""
     kind = _kind(df, emb)
     rows = stored(vector_rows(df, seq, emb, part, sig, surface), "vectors")
-    copied = stored(rows.groupBy("node").agg(F.min("seq").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "copied")
-    copies = stored(rows.select("node", "seq").join(copied, "node"), "copies")
-    nodes = rows.join(copies.where("seq <> first").select("seq"), "seq", "left_anti")
-    full = None
+    copied, any_ = stored_counted(rows.groupBy("node").agg(F.min("seq").alias("first"), F.count("*").alias("rows")).where("rows > 1").drop("rows"), "copied", n=F.count("*"))
+    nodes = rows
+    if any_["n"]:
+        copies = stored(rows.select("node", "seq").join(copied, "node"), "copies")
+        nodes = rows.join(copies.where("seq <> first").select("seq"), "seq", "left_anti")
     if sig is None:
         near = _near(nodes, kind, threshold)
     else:
@@ -286,11 +287,10 @@ def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: st
         # in doubt: both ends, as a copy of the earlier may come after the later; copies; and what has no signature
         asks = kill.select(F.explode(F.array("i", "j")).alias("seq"), F.col("sim").alias("least")).unionByName(copied.select(F.col("first").alias("seq"), F.lit(1.0).alias("least")))
         asks = asks.unionByName(nodes.where("s is null").select("seq", F.lit(float(threshold)).alias("least")))
-        full = stored(asks.groupBy("seq").agg((F.min("least") - SLACK).alias("least")), "asks")
-        near = _near(nodes, kind, threshold, full)
+        near = _near(nodes, kind, threshold, stored(asks.groupBy("seq").agg((F.min("least") - SLACK).alias("least")), "asks"))
     near = stored(near.where(F.col("sim") >= threshold), "near")
     pairs = stored(_measured(near, nodes, kind), "measured") if sig is not None else near.withColumn("surface", F.lit(None).cast("double"))
-    if copied.isEmpty():
+    if not any_["n"]:
         return settle(pairs, threshold, surface)
     # between nodes, in both directions, and within a node of several rows
     both = pairs.unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "sim", "surface"))
@@ -304,8 +304,8 @@ def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: st
         # the first row of a node stands for it; if that is rejected, its earliest kept row does
         lost = copies.join(gone.select(F.col("i").alias("first")), "first", "left_semi").join(gone.select(F.col("i").alias("seq")), "seq", "left_anti")
         late = lost.groupBy(F.col("first").alias("j")).agg(F.min("seq").alias("rep")).join(reps, ["j", "rep"], "left_anti")
-        late = stored(late, "late")
-        if late.isEmpty():
+        late, n = stored_counted(late, "late", n=F.count("*"))
+        if not n["n"]:
             return gone
         reps = stored(reps.unionByName(late), "reps")
 

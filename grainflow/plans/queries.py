@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, CurationConfig
 from ..functions import text as T
 from ..functions.langid import Profiles, by_profiles, fit_profiles, language
-from ..functions.minhash import band_key, jaccard_estimate, md5_route, permutations, text_signature
+from ..functions.minhash import band_key, from_json, jaccard_estimate, md5_route, permutations, text_signature, to_json
 from ..functions.vectors import cosine, decode_f32, is_vector
 from ..operators import evaluation, inject, judge, metrics, sampling
 from ..operators.dedup import cosine_pairs, first_by, nearest_prior, online_dedup
@@ -665,6 +665,44 @@ def a5_a20_o4_bench_rows(spark, d):  # noqa: ANN001, ANN201
     return got.select("run_no", "workers", "docs", F.round("docs_per_sec", 3).alias("docs_per_sec"), F.round("speedup", 6).alias("speedup")).orderBy("workers", "run_no")
 
 
+@query(f"""WITH RECURSIVE {_JUDGED}, {sql.greedy("judged", False, 0.9, name="gone")}, r AS ({sql.drops("gone")}), m(measure, value, bar) AS (SELECT 'dedup_recall', recall, 0.90::DOUBLE FROM r UNION ALL SELECT 'dedup_precision', precision, 0.95::DOUBLE FROM r)
+  SELECT measure, value, bar, value >= bar AS passed FROM m""")
+def a13_u6_gates(spark, d):  # noqa: ANN001, ANN201
+    r = evaluation.threshold_sweep(eval_documents(spark, d), "seq", "group", "emb", (0.9,)).first()
+    report = {k: round(float(r[k.removeprefix("dedup_")]), 6) for k in ("dedup_recall", "dedup_precision")}
+    passed = evaluation.gates(report)
+    return spark.createDataFrame([(k, v, evaluation.GATES[k], passed[k]) for k, v in report.items()], "measure string, value double, bar double, passed boolean")
+
+
+@query("SELECT vec_id, NULL::DOUBLE AS quality_score, false AS low_quality FROM embeddings")
+def q3_without_model(spark, d):  # noqa: ANN001, ANN201
+    return with_quality(table(spark, d, "embeddings"), "embedding", None).select("vec_id", "quality_score", "low_quality")
+
+
+def _permutation_sql() -> str:
+    import numpy as np
+
+    rng = np.random.RandomState(42)
+    a = rng.randint(1, 2**31, 128, dtype=np.int64)
+    rows = ", ".join(f"({k}, {x}, {y})" for k, (x, y) in enumerate(zip(a, rng.randint(0, 2**31, 128, dtype=np.int64), strict=True)))
+    return f"SELECT k::INTEGER AS k, a::BIGINT AS a, b::BIGINT AS b FROM (VALUES {rows}) t(k, a, b)"
+
+
+@query(_permutation_sql())
+def t14_permutations(spark, d):  # noqa: ANN001, ANN201
+    p = from_json(to_json(permutations()))
+    return spark.createDataFrame([(k, x, y) for k, (x, y) in enumerate(zip(p.a, p.b, strict=True))], "k int, a bigint, b bigint")
+
+
+@query("""WITH a AS (SELECT DISTINCT doc_id, lower(decision) AS decision FROM stage_results WHERE run_no = 2), b AS (SELECT DISTINCT doc_id, lower(decision) AS decision FROM stage_results WHERE run_no = 1 AND doc_id IN (SELECT doc_id FROM a))
+  SELECT 'run' AS compared, NOT EXISTS ((SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT SELECT * FROM a)) AS same UNION ALL SELECT 'itself', true""")
+def u_3_same_decisions(spark, d):  # noqa: ANN001, ANN201
+    r = results(spark, d).select("doc_id", "run_no", F.lower("decision").alias("decision"))
+    two = r.where("run_no = 2").drop("run_no").distinct()
+    one = r.where("run_no = 1").drop("run_no").distinct().join(two.select("doc_id").distinct(), "doc_id", "left_semi")
+    return spark.createDataFrame([("run", evaluation.same_decisions(two, one)), ("itself", evaluation.same_decisions(two, two))], "compared string, same boolean")
+
+
 # --- streams, run once over what is there -------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def get_spark(app: str = "grainflow", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -72,3 +72,10 @@ def stored(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stored_counted(df: DataFrame, name: str, **what: Column) -> tuple[DataFrame, dict[str, int]]:
+    """stored(), and aggregates of its rows that are observed while they are written, without another job."""
+    seen = Observation()
+    out = stored(df.observe(seen, *(c.alias(k) for k, c in what.items())), name)
+    return out, seen.get
