@@ -233,6 +233,8 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
     copies = np.ones(number, int)
     for r in some.groupBy("shard").count().collect():  # a number per shard; it only decides how the work is split
         copies[r["shard"]] = max(1, -(-r["count"] * SAMPLE // QUERIES))
+    start = np.concatenate(([0], np.cumsum(slices * copies)))  # a shard's places: its slices, of each its copies
+    first_copy = np.concatenate([np.arange(m * c) % c == 0 for m, c in zip(slices, copies, strict=True)])
 
     def rows_of(b: pa.RecordBatch, r: np.ndarray, place: np.ndarray, kind: int) -> pa.RecordBatch:
         take = pa.array(r)
@@ -255,7 +257,7 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
                     mine = q if wide else q[(shard[q] != at) | (h[q] % slices[at] != part)]
                     r.append(mine), s.append(np.full(len(mine), at)), j.append(np.full(len(mine), part))
             r, s, j = map(np.concatenate, (r, s, j))
-            yield rows_of(b, r, (s * 10_000 + j) * 10_000 + (h[r] // 7) % copies[s], 1)
+            yield rows_of(b, r, start[s] + j * copies[s] + (h[r] // 7) % copies[s], 1)
 
     def home(batches: Iterator[pa.RecordBatch], shard: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -267,7 +269,7 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
                 own = np.concatenate([t.shard[t.home(unit(b.column(1).slice(lo, 2000).to_pylist(), dim))[1]] for lo in range(0, b.num_rows, 2000)])
             r = np.repeat(np.arange(b.num_rows), copies[own])
             copy = np.arange(len(r)) - np.repeat(np.cumsum(copies[own]) - copies[own], copies[own])
-            yield rows_of(b, r, (own[r] * 10_000 + h[r] % slices[own[r]]) * 10_000 + copy, 0)
+            yield rows_of(b, r, start[own[r]] + h[r] % slices[own[r]] * copies[own[r]] + copy, 0)
 
     def build(t: pa.Table) -> tuple:
         x = unit(t["v"].to_pylist(), dim)
@@ -318,13 +320,13 @@ def _search(nodes: DataFrame, placed: DataFrame, tree: Tree, k: int, min_cosine:
             yield pa.RecordBatch.from_arrays([pa.array(qh[a[ok]]), pa.array(dh[d[ok]]), pa.array(s[ok])], names=["a", "b", "cosine"])
 
     def own(b: pa.RecordBatch) -> pa.RecordBatch:
-        return b if not wide and b.num_rows and b.column(0)[0].as_py() % 10_000 == 0 else b.slice(0, 0)
+        return b if not wide and b.num_rows and first_copy[b.column(0)[0].as_py()] else b.slice(0, 0)
 
     kinds = "place bigint, kind int, h bigint, v binary"
     routed = queries.mapInArrow(route, kinds)
     if wide:
         routed = nodes.select("h", "v").mapInArrow(home, kinds).unionByName(routed)
-    return per_place(routed, build, ask, "a bigint, b bigint, cosine double", own)
+    return per_place(routed, int(start[-1]), build, ask, "a bigint, b bigint, cosine double", own)
 
 
 def _best_pairs(found: DataFrame, k: int) -> DataFrame:
