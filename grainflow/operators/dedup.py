@@ -199,7 +199,8 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
             yield pa.RecordBatch.from_arrays([a, c, pa.array(sim[ok])], names=["i", "j", "sim"])
 
     routed = x.select("seq", "part", "v").withColumn("least", F.lit(None).cast("double")).mapInArrow(as_data, schema).unionByName(queries.mapInArrow(as_query, schema))
-    found = per_place(routed, at, build, ask, f"i {seq}, j {seq}, sim double").where("i <> j")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 20_000)  # a task has many small cells
+    found = per_place(routed, at, build, ask, f"i {seq}, j {seq}, sim double", tasks=tasks).where("i <> j")
     return found.groupBy(F.greatest("i", "j").alias("i"), F.least("i", "j").alias("j")).agg(F.max("sim").alias("sim"))
 
 

@@ -23,9 +23,10 @@ Build = Callable[[pa.Table], object]
 Ask = Callable[[object, pa.RecordBatch], Iterator[pa.RecordBatch]]
 
 
-def per_place(df: DataFrame, places: int, build: Build, ask: Ask, schema: str, own: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+def per_place(df: DataFrame, places: int, build: Build, ask: Ask, schema: str, own: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, tasks: int | None = None) -> DataFrame:
     """The answers of each place. df: place (0 .. places - 1), kind (0: data, 1: queries), and what build and ask
-    need. Each place is a task of its own, up to TASKS of them.
+    need. Each place is a task of its own, unless there are to be fewer tasks; a task's places come one after
+    the other.
 
     The data of a place is gathered (the caller bounds it by slicing), its queries stream by in Arrow
     batches of any number. own, if given, makes queries of a batch of data."""
@@ -60,7 +61,7 @@ def per_place(df: DataFrame, places: int, build: Build, ask: Ask, schema: str, o
         if data and index is None and own:
             yield from opened()
 
-    return df.repartitionById(max(1, min(places, TASKS)), F.col("place").cast("int")).sortWithinPartitions("place", "kind").mapInArrow(run, schema)
+    return df.repartitionById(max(1, min(places, tasks or TASKS)), F.col("place").cast("int")).sortWithinPartitions("place", "kind").mapInArrow(run, schema)
 
 
 def bucket_pairs(x: DataFrame, buckets: list[str], node: str, carry: tuple[str, ...] = (), hot: int = HOT, other: DataFrame | None = None) -> DataFrame:
