@@ -244,30 +244,32 @@ def _measured(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
 def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
     """i, neighbour, dedup_similarity of the rejected documents, from pairs (i, j, sim, surface) j < i.
 
-    Of neighbours with equal cosine the earliest counts. A document without a pair that could reject
-    it is kept whatever its neighbours are, and a neighbour known to be kept hides all less similar
-    ones; so a round settles all but the documents whose nearest candidates are themselves in doubt,
-    and the rounds are as many as the longest chain of such doubts.
+    Of neighbours with equal cosine the earliest counts. A document without a pair that could reject it is kept
+    whatever its neighbours are, and a neighbour known to be kept hides all less similar ones. Of what it leaves,
+    if every pair would reject the document, it is rejected whichever of these neighbours is kept; if none would,
+    it is kept. A round settles all documents of these two kinds; the others wait for their neighbours. The
+    neighbours that the rejected documents are rejected by are looked up at the end.
     """
-    open_ = pairs.where(F.col("sim") >= threshold).withColumn("kill", F.coalesce(F.col("surface") >= surface, F.lit(True)))
-    open_ = stored(open_.select("i", "j", (-F.col("sim")).alias("far"), "kill"), "pairs")
-    kind = open_.schema["i"].dataType.simpleString()
-    out = open_.sparkSession.createDataFrame([], f"i {kind}, neighbour {kind}, dedup_similarity double")
+    every = pairs.where(F.col("sim") >= threshold).withColumn("kill", F.coalesce(F.col("surface") >= surface, F.lit(True)))
+    every = stored(every.select("i", "j", (-F.col("sim")).alias("far"), "kill"), "pairs")
+    open_, gone = every.join(every.where("kill").select("i").distinct(), "i", "left_semi"), every.select("i").limit(0)
     own = Window.partitionBy("i")
     while True:
-        doubt = open_.where("kill").select("i").distinct()
-        x = open_.join(doubt, "i", "left_semi").join(doubt.select(F.col("i").alias("j"), F.lit(True).alias("open")), "j", "left")
+        x = open_.join(open_.select(F.col("i").alias("j"), F.lit(True).alias("open")).distinct(), "j", "left")
         place = F.struct("far", "j")
         x = x.withColumn("best", F.min(F.when(F.col("open").isNull(), place)).over(own)).where(F.col("best").isNull() | (place <= F.col("best")))
-        x = x.withColumn("waits", F.max(F.coalesce("open", F.lit(False))).over(own)).withColumn("risk", F.max("kill").over(own))
-        x, n = stored_counted(x.select("i", "j", "far", "kill", "waits", "risk"), "round", left=F.count_if(F.col("waits") & F.col("risk")))
-        gone = x.where("kill and not waits")  # what is left of such a document is its nearest kept neighbour
-        out = out.unionByName(gone.select("i", F.col("j").alias("neighbour"), (-F.col("far")).alias("dedup_similarity")))
+        x = x.withColumn("risk", F.max("kill").over(own)).withColumn("dead", F.min("kill").over(own) & F.col("best").isNotNull())
+        x, n = stored_counted(x.select("i", "j", "far", "kill", "risk", "dead"), "round", left=F.count_if(F.col("risk") & ~F.col("dead")))
+        out = x.where("dead").select("i").distinct()
+        gone = gone.unionByName(out)
         if not n["left"]:
-            return out
-        left = x.where("waits and risk")
+            break
         # a rejected document is no neighbour
-        open_ = left.join(gone.select(F.col("i").alias("j")), "j", "left_anti").select("i", "j", "far", "kill")
+        open_ = x.where("risk and not dead").join(out.withColumnRenamed("i", "j"), "j", "left_anti").select("i", "j", "far", "kill")
+    gone = stored(gone, "gone")
+    left = every.join(gone, "i", "left_semi").join(gone.withColumnRenamed("i", "j"), "j", "left_anti")
+    best = left.groupBy("i").agg(F.min(F.struct("far", "j")).alias("b"))
+    return best.select("i", F.col("b.j").alias("neighbour"), (-F.col("b.far")).alias("dedup_similarity"))
 
 
 def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: str | None = None, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:

@@ -80,13 +80,14 @@ def results(spark: SparkSession, d: str) -> DataFrame:
 
 def vectors(spark: SparkSession, d: str) -> DataFrame:
     """id, emb (an array) of the usable vectors, one row per id."""
-    x = table(spark, d, "doc_rows").where(F.octet_length("emb") == 4 * DIM).select("id", decode_f32("emb").alias("emb")).where(is_vector("emb", DIM))
+    x = readers.spread(table(spark, d, "doc_rows").select("id", "emb").where(F.octet_length("emb") == 4 * DIM)).select("id", decode_f32("emb").alias("emb")).where(is_vector("emb", DIM))
     return x.groupBy("id").agg(F.min("emb").alias("emb"))
 
 
 def arrivals(spark: SparkSession, d: str) -> DataFrame:
     """First arrivals: one row of raw_docs per id."""
-    return first_by(raw(spark, d).where("id is not null").select("seq", "id", "text", "source"), "id", "seq")
+    x = raw(spark, d).where("id is not null").select("seq", "id", "text", "source")
+    return x.join(x.groupBy("id").agg(F.min("seq").alias("seq")).select("seq"), "seq", "left_semi")  # seq is unique
 
 
 def told(spark: SparkSession, d: str) -> Profiles:
