@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from grainflow.llm.mixing import actual_shares, budgets, mixed
 from grainflow.llm.packing import best_fit, containers, improve, packed
+from grainflow.llm.queries import p4_found
 from grainflow.llm.reading_level import _BUCKETS, fit, rarity_table, reading_levels, train, word_counts
 from grainflow.llm.subjects import changed, document_subjects, Terms
 from grainflow.llm.text_quality import STATS, merged, not_prose, reference, sketches, stats_of, text_stats, with_flags
@@ -269,6 +270,19 @@ def test_tails_hold_every_case_whatever_the_mixture(spark):
     assert [r["key"] for r in not_prose(with_flags(few, reference(sketches(few)))).collect()] == ["t"]
 
 
+def test_cases_need_no_sketches_and_the_flags_change_none(spark, tmp_path):
+    rows = [(f"p{k}", varied(k)) for k in range(30)] + [("t", TABLE), ("t", TABLE), ("m", TABLE + "\n\n" + PROSE), ("half", varied(1) + "\n" + TABLE[:90]), ("n", None), ("b", " ")]
+    df = spark.createDataFrame(rows, "id string, text string")
+    stats = text_stats(df, "id", "text")
+    got = sorted(r["key"] for r in not_prose(stats).collect())
+    assert got == ["m", "t", "t"]
+    assert got == sorted(r["key"] for r in not_prose(with_flags(stats, reference(sketches(stats)))).collect())
+    df.write.parquet(str(tmp_path / "raw_docs.parquet"))
+    found = p4_found(spark, str(tmp_path))
+    assert sorted(r["id"] for r in found.collect()) == ["m", "t"]
+    assert "kll" not in found._jdf.queryExecution().toString()
+
+
 def test_share_of_changed_terms():
     a = Terms(np.array([1, 2, 3]), np.array([[0.9, 0], [0, 0.8], [0, 0], [0, 0]]), np.zeros((4, 2)))
     b = Terms(np.array([1, 2, 4]), np.array([[0.7, 0], [0.8, 0], [0, 0.9], [0, 0]]), np.zeros((4, 2)))
