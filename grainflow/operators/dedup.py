@@ -28,8 +28,12 @@ from .places import SAMPLE, bucket_pairs, per_place
 
 #: least and most pivots; in between their number grows with the root of the number of vectors
 PIVOTS = (64, 8192)
-#: data rows of a cell that one task holds, and queries that it answers; more are split
-SLICE, QUERIES = 8192, 65_536
+#: data rows of a block at most (fewer of long vectors: so many numbers), and queries that it answers; more are split
+SLICE, NUMBERS, QUERIES = 16_384, 1 << 22, 65_536
+#: rows that are routed, and pairs that are measured, at a time: what a task holds depends on neither
+ROUTED, MEASURED = 512, 8192
+#: of a block's cells, the share that queries must see from which they are compared with all of it at once
+WHOLE = 0.3
 #: bands of two minima of a signature: of pairs with half of 128 minima equal they miss 1e-6
 BANDS = 48
 SLACK = 1e-6
@@ -44,8 +48,25 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
+def _unit32(column: pa.Array, dim: int, kind: str) -> np.ndarray:
+    return _unit(_floats(column, dim, kind)).astype(np.float32)
+
+
 def _angles(x: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return np.arccos(np.clip(x @ v.T, -1.0, 1.0))
+    d = x @ v.T
+    return np.arccos(np.clip(d, -1.0, 1.0, out=d), out=d)
+
+
+def _angles_to(x: np.ndarray, v: np.ndarray, cell: np.ndarray) -> np.ndarray:
+    """The angle of each vector to the pivot of its cell."""
+    return np.concatenate([_angles(x[k : k + ROUTED], v)[np.arange(len(x[k : k + ROUTED])), cell[k : k + ROUTED]] for k in range(0, len(x), ROUTED)])
+
+
+def _must_see(d: np.ndarray, near: np.ndarray, radius: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Queries by cells: whether a vector of the cell can have the cosine asked for, by the angles of the
+    queries to the cells' pivots and to their nearest pivot."""
+    reach = (np.arccos(np.clip(least, -1, 1)) + 2e-3).astype(np.float32)[:, None]  # 32-bit angles near 0 are that inexact
+    return (d - radius <= reach) & ((d - near.astype(np.float32)[:, None]) / 2 <= reach)
 
 
 def _kind(df: DataFrame, emb: str) -> str:
@@ -92,8 +113,9 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
 
     Vectors lie in the cell of their nearest pivot (a bounded sample); by the triangle inequality of
     angles a vector can only have partners in the cells that its angle to their pivot, less the
-    cell's radius, and half its excess over the nearest pivot, reach. Cells of many vectors are cut into
-    slices, and cells that many ask are repeated."""
+    cell's radius, and half its excess over the nearest pivot, reach. Small cells share a block, large ones
+    are cut into slices, and blocks that many ask are repeated. A query goes once to each block in which it must
+    see a cell: where the angles exclude nothing, as often as there are blocks, which is all pairs by blocks."""
     spark = x.sparkSession
     seq = x.schema["seq"].dataType.simpleString()
     none = spark.createDataFrame([], f"i {seq}, j {seq}, sim double")
@@ -108,99 +130,170 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
     dim = size // np.dtype(kind).itemsize
     v = _unit(np.array([np.frombuffer(p, kind) for p in picked if len(p) == size])).astype(np.float32)
     x = x.where(F.octet_length("v") == size)
-    names = ["place", "kind", "seq", "v", "least"]
-    schema = f"place bigint, kind int, seq {seq}, v binary, least double"
+    names = ["place", "kind", "seq", "v", "least", "near"]
+    schema = f"place bigint, kind int, seq {seq}, v binary, least double, near double"
+
+    def nearest(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each vector and its angle to the pivot."""
+        d = _angles(e, v)
+        return d.argmin(1), d.min(1)
 
     def place(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        far: dict[int, np.ndarray] = {}
+        rows: dict[int, np.ndarray] = {}
         for b in got:
-            if b.num_rows:
-                d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), v)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(d.argmin(1).astype(np.int32)), pa.array(d.min(1).astype(np.float64))], names=["seq", "part", "cell", "far"])
-
-    cells = stored(x.mapInArrow(place, f"seq {seq}, part int, cell int, far double"), "cells")
-    radius = np.full(len(v), -np.inf)
-    load: dict[tuple[int, int], int] = {}
-    for r in cells.groupBy("part", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect():  # a row per pivot and part
+            for lo in range(0, b.num_rows, ROUTED):
+                t = b.slice(lo, ROUTED)
+                cell, angle = nearest(_unit32(t.column(2), dim, kind))
+                parts = t.column(1).to_numpy()
+                for k in np.unique(parts).tolist():
+                    at = parts == k
+                    np.maximum.at(far.setdefault(k, np.full(len(v), -np.inf)), cell[at], angle[at])
+                    np.add.at(rows.setdefault(k, np.zeros(len(v), np.int64)), cell[at], 1)
+        for k, m in rows.items():
+            c = np.flatnonzero(m)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(c), k, np.int32)), pa.array(c.astype(np.int32)), pa.array(far[k][c]), pa.array(m[c])], names=["part", "cell", "far", "n"])
+
+    radius = np.full(len(v), -np.inf, np.float32)
+    load: dict[int, np.ndarray] = {}
+    cells = x.mapInArrow(place, "part int, cell int, far double, n bigint").groupBy("part", "cell").agg(F.max("far").alias("far"), F.sum("n").alias("n"))
+    for r in cells.collect():  # a row per pivot and part
         radius[r["cell"]] = max(radius[r["cell"]], r["far"])
-        load[r["part"], r["cell"]] = r["n"]
-
-    def visits(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows and cells: what each query must see."""
-        d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), v)
-        reach = np.arccos(np.clip(b.column(3).to_numpy(), -1, 1))[:, None] + 1e-3  # 32-bit angles near 0 are that inexact
-        q, c = np.nonzero((d - radius <= reach) & ((d - d.min(1)[:, None]) / 2 <= reach))
-        return d.argmin(1), q, c
-
-    queries = x.withColumn("least", F.lit(float(least))) if asks is None else x.join(asks, "seq")
-    queries = queries.select("seq", "part", "v", "least")
+        load.setdefault(r["part"], np.zeros(len(v), np.int64))[r["cell"]] = r["n"]
+    if asks is None:
+        queries, many = x.withColumn("least", F.lit(float(least))).select("seq", "part", "v", "least"), n
+    else:
+        queries, seen = stored_counted(x.join(asks, "seq").select("seq", "part", "v", "least"), "asking", n=F.count("*"))
+        many = max(1, seen["n"])
+    # blocks and copies so that all cores have work and the fewest rows are sent
+    most = max(1, min(SLICE, NUMBERS // dim))
+    work = 2 * spark.sparkContext.defaultParallelism
+    blocks = max(-(-n // most), min(work, isqrt(max(1, work * n // many))))
+    rows = max(1, min(most, max(-(-n // blocks), min(most, 1024))))
+    answers = max(1, min(QUERIES, max(1024, many * max(1, n // rows) // work + 1)))
+    begin: dict[int, np.ndarray] = {}
+    for k, m in load.items():
+        cuts, held = [0], 0
+        for c, one in enumerate(m.tolist()):
+            if held and held + one > rows:
+                cuts.append(c)
+                held = 0
+            held += one
+        begin[k] = np.array(cuts)
+    slices = {k: np.maximum(1, -(-np.add.reduceat(load[k], begin[k]) // rows)) for k in load}
+
+    def visits(e: np.ndarray, parts: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows and blocks (of the row's part): what each query must see; and its angle to the nearest pivot."""
+        d = _angles(e, v)
+        near = d.min(1)
+        m = _must_see(d, near, radius, floor)
+        q, g = [], []
+        for k in np.unique(parts).tolist():
+            at = np.flatnonzero(parts == k)
+            y, z = np.nonzero(np.logical_or.reduceat(m[at], begin[k], axis=1))
+            q.append(at[y])
+            g.append(z)
+        return np.concatenate(q), np.concatenate(g), near
 
     def count(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in got:
-            if b.num_rows:
-                _, q, c = visits(b)
-                yield pa.RecordBatch.from_arrays([b.column(1).take(pa.array(q)), pa.array(c.astype(np.int32))], names=["part", "cell"])
-
-    sample = queries.where(F.pmod(F.xxhash64("seq", F.lit(5)), F.lit(SAMPLE)) == 0).mapInArrow(count, "part int, cell int")
-    asked = {(r["part"], r["cell"]): r["count"] * SAMPLE for r in sample.groupBy("part", "cell").count().collect()}
-    slices = {k: -(-m // SLICE) for k, m in load.items()}
-    copies = {k: max(1, -(-asked.get(k, 0) // QUERIES)) for k in load}
-    at, place_of = 0, {}
+            for lo in range(0, b.num_rows, ROUTED):
+                t = b.slice(lo, ROUTED)
+                q, g, _ = visits(_unit32(t.column(2), dim, kind), t.column(1).to_numpy(), t.column(3).to_numpy())
+                yield pa.RecordBatch.from_arrays([t.column(1).take(pa.array(q)), pa.array(g.astype(np.int32))], names=["part", "block"])
+
+    sample = queries.where(F.pmod(F.xxhash64("seq", F.lit(5)), F.lit(SAMPLE)) == 0).mapInArrow(count, "part int, block int")
+    copies = {k: np.ones(len(m), np.int64) for k, m in slices.items()}
+    for r in sample.groupBy("part", "block").count().collect():  # a row per block
+        copies[r["part"]][r["block"]] = max(1, -(-r["count"] * SAMPLE // answers))
+    at, first, of = 0, {}, []
     for k in sorted(load):
-        place_of[k] = at
-        at += slices[k] * copies[k]
-    sent = spark.sparkContext.broadcast((v, radius, slices, copies, place_of))  # PIVOTS vectors, and numbers per cell and part
-
-    def spread(b: pa.RecordBatch, rows: np.ndarray, cell: np.ndarray, query: bool) -> pa.RecordBatch:
-        """A data row goes to one slice of its cell, in each copy; a query to all slices, in one copy."""
-        _, _, slices, copies, place_of = sent.value
-        parts = b.column(1).to_numpy()
-        h = np.array([xxhash.xxh3_64_intdigest(str(s)) for s in b.column(0).to_pylist()], np.uint64)
+        each = slices[k] * copies[k]
+        first[k] = at + np.cumsum(each) - each
+        at += int(each.sum())
+        of += [(k, g) for g, m in enumerate(each.tolist()) for _ in range(m)]
+    sent = spark.sparkContext.broadcast((v, radius, begin, slices, copies, first, of))  # PIVOTS vectors, and numbers per block and part
+
+    def spread(t: pa.RecordBatch, rows: np.ndarray, block: np.ndarray, near: np.ndarray | None) -> pa.RecordBatch:
+        """A data row (without near) goes to one slice of its block, in each copy; a query to all slices, in one copy."""
+        _, _, _, slices, copies, first, _ = sent.value
+        parts = t.column(1).to_numpy()
+        h = np.array([xxhash.xxh3_64_intdigest(str(s)) for s in t.column(0).to_pylist()], np.uint64)
         take, places = [], []
-        for r, c in zip(rows.tolist(), cell.tolist(), strict=True):
-            k = (int(parts[r]), c)
-            if k not in place_of:
-                continue
-            s, m = slices[k], copies[k]
-            own = int(h[r]) % (m if query else s)
-            for j in range(s if query else m):
+        for r, g in zip(rows.tolist(), block.tolist(), strict=True):
+            k = int(parts[r])
+            s, m, at = int(slices[k][g]), int(copies[k][g]), int(first[k][g])
+            own = int(h[r]) % (s if near is None else m)
+            for j in range(m if near is None else s):
                 take.append(r)
-                places.append(place_of[k] + (j * m + own if query else own * m + j))
-        t = pa.array(take, pa.int64())
-        kinds = pa.array(np.full(len(take), int(query), np.int32))
-        far = b.column(3).take(t) if query else pa.nulls(len(take), pa.float64())
-        return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), kinds, b.column(0).take(t), b.column(2).take(t), far], names=names)
+                places.append(at + (own * m + j if near is None else j * m + own))
+        i = pa.array(take, pa.int64())
+        kinds = pa.array(np.full(len(take), int(near is not None), np.int32))
+        gap = pa.nulls(len(take), pa.float64())
+        floor, near = (gap, gap) if near is None else (t.column(3).take(i), pa.array(near.astype(np.float64)).take(i))
+        return pa.RecordBatch.from_arrays([pa.array(places, pa.int64()), kinds, t.column(0).take(i), t.column(2).take(i), floor, near], names=names)
 
     def as_data(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin = sent.value[2]
         for b in got:
-            if b.num_rows:
-                d = _angles(_unit(_floats(b.column(2), dim, kind)).astype(np.float32), sent.value[0])
-                yield spread(b, np.arange(b.num_rows), d.argmin(1), False)
+            for lo in range(0, b.num_rows, ROUTED):
+                t = b.slice(lo, ROUTED)
+                cell, parts = nearest(_unit32(t.column(2), dim, kind))[0], t.column(1).to_numpy()
+                block = np.zeros(len(cell), np.int64)
+                for k in np.unique(parts).tolist():
+                    block[parts == k] = np.searchsorted(begin[k], cell[parts == k], "right") - 1
+                yield spread(t, np.arange(t.num_rows), block, None)
 
     def as_query(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in got:
-            if b.num_rows:
-                _, q, c = visits(b)
-                yield spread(b, q, c, True)
+            for lo in range(0, b.num_rows, ROUTED):
+                t = b.slice(lo, ROUTED)
+                yield spread(t, *visits(_unit32(t.column(2), dim, kind), t.column(1).to_numpy(), t.column(3).to_numpy()))
 
     def build(t: pa.Table) -> tuple:
-        t = t.combine_chunks()
-        e = _unit(_floats(t["v"], dim, kind))
-        return t["seq"].combine_chunks(), e, e.astype(np.float32)
+        """The rows of a block by cell, and its cells: pivots, radii and ends."""
+        v, _, begin, *_, of = sent.value
+        part, g = of[t["place"][0].as_py()]
+        lo, hi = (*begin[part], len(v))[g : g + 2]
+        raw = _floats(t["v"], dim, kind)
+        e = _unit(raw).astype(np.float32)
+        cell = np.concatenate([_angles(e[k : k + ROUTED], v[lo:hi]).argmin(1) for k in range(0, len(e), ROUTED)])
+        by = np.argsort(cell, kind="stable")
+        raw, e, cell = raw[by], e[by], cell[by]
+        far = _angles_to(e, v[lo:hi], cell)
+        there, at = np.unique(cell, return_index=True)
+        return t["seq"].combine_chunks().take(pa.array(by)), raw, e, v[lo:hi][there], np.maximum.reduceat(far, at), np.append(at, len(e))
 
     def ask(index: tuple, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ds, e, e32 = index
-        for lo in range(0, b.num_rows, 1024):
-            part = b.slice(lo, 1024)
-            x, floor = _unit(_floats(part.column(3), dim, kind)), part.column(4).to_numpy()
-            y, z = np.nonzero(x.astype(np.float32) @ e32.T >= floor[:, None] - 1e-5)
-            sim = np.round(np.einsum("ij,ij->i", x[y], e[z]), 12)  # candidates in 32 bits, their cosines in 64
-            ok = sim >= floor[y] - 1e-12
-            a, c = part.column(2).take(pa.array(y[ok])), ds.take(pa.array(z[ok]))
-            yield pa.RecordBatch.from_arrays([a, c, pa.array(sim[ok])], names=["i", "j", "sim"])
-
-    routed = x.select("seq", "part", "v").withColumn("least", F.lit(None).cast("double")).mapInArrow(as_data, schema).unionByName(queries.mapInArrow(as_query, schema))
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 20_000)  # a task has many small cells
-    found = per_place(routed, at, build, ask, f"i {seq}, j {seq}, sim double", tasks=tasks).where("i <> j")
+        ds, raw, e, pivot, radius, ends = index
+        step = max(1, NUMBERS // len(e))
+        for lo in range(0, b.num_rows, step):
+            t = b.slice(lo, step)
+            own, floor = _floats(t.column(3), dim, kind), t.column(4).to_numpy()
+            x, low = _unit(own).astype(np.float32), (floor - 1e-5).astype(np.float32)
+            m = _must_see(_angles(x, pivot), t.column(5).to_numpy(), radius, floor)
+            if m.mean() > WHOLE:
+                y, z = np.nonzero(x @ e.T >= low[:, None])
+            else:
+                ys, zs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                for c in np.flatnonzero(m.any(0)).tolist():
+                    q = np.flatnonzero(m[:, c])
+                    a, d = np.nonzero(x[q] @ e[ends[c] : ends[c + 1]].T >= low[q, None])
+                    ys.append(q[a])
+                    zs.append(d + ends[c])
+                y, z = np.concatenate(ys), np.concatenate(zs)
+            for k in range(0, len(y), MEASURED):  # candidates in 32 bits, their cosines in 64
+                yk, zk = y[k : k + MEASURED], z[k : k + MEASURED]
+                sim = np.round(np.einsum("ij,ij->i", _unit(own[yk]), _unit(raw[zk])), 12)
+                ok = sim >= floor[yk] - 1e-12
+                yield pa.RecordBatch.from_arrays([t.column(2).take(pa.array(yk[ok])), ds.take(pa.array(zk[ok])), pa.array(sim[ok])], names=["i", "j", "sim"])
+
+    data = x.select("seq", "part", "v").withColumn("least", F.lit(None).cast("double"))
+    routed = data.mapInArrow(as_data, schema).unionByName(queries.mapInArrow(as_query, schema))
+    found = per_place(routed, at, build, ask, f"i {seq}, j {seq}, sim double", tasks=max(int(spark.conf.get("spark.sql.shuffle.partitions")), at))
+    if asks is None:  # both ends ask
+        return found.where("i > j")
+    found = found.where("i <> j")
     return found.groupBy(F.greatest("i", "j").alias("i"), F.least("i", "j").alias("j")).agg(F.max("sim").alias("sim"))
 
 

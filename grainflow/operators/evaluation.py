@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import stored
 from .dedup import cosine_pairs, nearest_prior, settle, with_surface
-from .routing import Route, by_band, by_id, routed
+from .routing import by_band, by_id
 from .sampling import first_seen
 
 # fixed values: the thresholds of the sweep, the partition counts and prefix sizes of the experiments
@@ -21,23 +21,35 @@ CUTS = (50, 100, 200, 300)
 GATES = {"dedup_recall": 0.90, "dedup_precision": 0.95, "classifier_auc": 0.85, "docs_per_sec": 1000.0, "scaling": 3.0}
 
 
-def precision_recall(flagged: DataFrame) -> DataFrame:
-    """One row from (is_repeat, dropped): dropped, dups, hits, precision (1 with nothing dropped), recall (0 with no dups)."""
+def precision_recall(flagged: DataFrame, *by: str) -> DataFrame:
+    """A row (for each value of by) from (is_repeat, dropped): dropped, dups, hits, precision (1 with nothing dropped), recall (0 with no dups)."""
     hit = F.col("dropped") & F.col("is_repeat")
-    x = flagged.agg(F.count_if("dropped").alias("dropped"), F.count_if("is_repeat").alias("dups"), F.count_if(hit).alias("hits"))
+    x = flagged.groupBy(*by).agg(F.count_if("dropped").alias("dropped"), F.count_if("is_repeat").alias("dups"), F.count_if(hit).alias("hits"))
     return x.withColumn("precision", F.coalesce(F.try_divide("hits", "dropped"), F.lit(1.0))).withColumn("recall", F.coalesce(F.try_divide("hits", "dups"), F.lit(0.0)))
 
 
+def _settled(pairs: DataFrame, threshold: float, surface: float = 0.5) -> DataFrame:
+    """run, i: the rejected documents of each run, from pairs (run, i, j, sim, surface). The runs are settled
+    together, each round at once: one after the other they are so many more plans for the driver."""
+    ends = (F.struct("run", F.col(c).alias("at")).alias(c) for c in ("i", "j"))
+    return settle(pairs.select(*ends, "sim", "surface"), threshold, surface).select("i.run", F.col("i.at").alias("i"))
+
+
+def _flagged(seen: DataFrame, seq: str, gone: DataFrame, runs: int) -> DataFrame:
+    """seen with dropped, for each run 0 .. runs - 1."""
+    each = seen.withColumn("run", F.explode(F.array(*map(F.lit, range(runs)))))
+    gone = gone.select("run", F.col("i").alias(seq), F.lit(True).alias("dropped"))
+    return each.join(gone, ["run", seq], "left").withColumn("dropped", F.coalesce("dropped", F.lit(False)))
+
+
 def threshold_sweep(docs: DataFrame, seq: str, group: str, emb: str, thresholds: tuple[float, ...] = SWEEP) -> DataFrame:
     """threshold and precision_recall() of each; the pairs are found once, at the lowest threshold."""
     seen = stored(first_seen(docs.select(seq, group), group, seq), "seen")
     pairs = stored(cosine_pairs(docs, seq, emb, min(thresholds)).withColumn("surface", F.lit(None).cast("double")), "sweep")
-    out = None
-    for t in thresholds:
-        gone = settle(pairs, t).select(F.col("i").alias(seq), F.lit(True).alias("dropped"))
-        x = precision_recall(seen.join(gone, seq, "left").withColumn("dropped", F.coalesce("dropped", F.lit(False)))).withColumn("threshold", F.lit(t))
-        out = x if out is None else out.unionByName(x)
-    return out
+    runs = F.array(*(F.struct(F.lit(k).alias("run"), F.lit(float(t)).alias("t")) for k, t in enumerate(thresholds)))
+    of = pairs.select("i", "j", "sim", "surface", F.explode(F.filter(runs, lambda r: r["t"] <= F.col("sim"))).alias("r")).select("i", "j", "sim", "surface", "r.run")
+    x = precision_recall(_flagged(seen, seq, _settled(of, min(thresholds)), len(thresholds)), "run")
+    return x.withColumn("threshold", F.element_at(F.array(*map(F.lit, map(float, thresholds))), F.col("run") + 1)).orderBy("run").drop("run")
 
 
 def recall_by_partitions(docs: DataFrame, seq: str, key: str, group: str, emb: str, sig: str, parts: tuple[int, ...] = PARTS, threshold: float = 0.9, surface: float = 0.5) -> DataFrame:
@@ -45,21 +57,15 @@ def recall_by_partitions(docs: DataFrame, seq: str, key: str, group: str, emb: s
     seen = stored(first_seen(docs.select(seq, group), group, seq), "seen")
     # pairs don't depend on the partition: found once, and kept where both ends share it
     pairs = stored(with_surface(cosine_pairs(docs, seq, emb, threshold), docs, seq, sig), "pairs")
-    out = None
-    for name, route, verify in (("doc_id", by_id, False), ("minhash", by_band, True)):
-        for p in parts:
-            place = stored(_place(docs, seq, key, sig, p, route), "place")
-            x = pairs.join(place.withColumnRenamed(seq, "i"), "i").join(place.select(F.col(seq).alias("j"), F.col("part").alias("part_j")), "j").where("part = part_j")
-            x = x.select("i", "j", "sim", F.col("surface") if verify else F.lit(None).cast("double").alias("surface"))
-            gone = settle(x, threshold, surface).select(F.col("i").alias(seq), F.lit(True).alias("dropped"))
-            r = precision_recall(seen.join(gone, seq, "left").withColumn("dropped", F.coalesce("dropped", F.lit(False))))
-            r = r.withColumn("parts", F.lit(p)).withColumn("route", F.lit(name))
-            out = r if out is None else out.unionByName(r)
-    return out
-
-
-def _place(docs: DataFrame, seq: str, key: str, sig: str, parts: int, route: Route) -> DataFrame:
-    return routed(docs, key, sig, parts, route).select(seq, "part")
+    runs = [(name, route, p) for name, route in (("doc_id", by_id), ("minhash", by_band)) for p in parts]
+    place = stored(docs.select(seq, F.array(*(route(F.col(key), F.col(sig), p) for _, route, p in runs)).alias("at")), "place")
+    x = pairs.join(place.select(F.col(seq).alias("i"), F.col("at").alias("at_i")), "i").join(place.select(F.col(seq).alias("j"), F.col("at").alias("at_j")), "j")
+    x = x.select("i", "j", "sim", "surface", F.posexplode(F.zip_with("at_i", "at_j", lambda a, b: a == b)).alias("run", "same")).where("same")
+    verified = F.element_at(F.array(*(F.lit(name == "minhash") for name, _, _ in runs)), F.col("run") + 1)
+    gone = _settled(x.withColumn("surface", F.when(verified, F.col("surface"))), threshold, surface)
+    r = precision_recall(_flagged(seen, seq, gone, len(runs)), "run")
+    what = F.array(*(F.struct(F.lit(p).alias("parts"), F.lit(name).alias("route")) for name, _, p in runs))
+    return r.withColumn("_of", F.element_at(what, F.col("run") + 1)).orderBy("run").select("*", "_of.*").drop("run", "_of")
 
 
 def nearest_prior_stats(docs: DataFrame, seq: str, emb: str, cuts: tuple[int, ...] = CUTS, threshold: float = 0.9) -> DataFrame:
@@ -82,8 +88,10 @@ def nearest_prior_stats(docs: DataFrame, seq: str, emb: str, cuts: tuple[int, ..
 def false_drops(docs: DataFrame, seq: str, emb: str, sig: str, threshold: float = 0.9, surface: float = 0.5) -> DataFrame:
     """mode (cosine, verified), drops: among distinct documents each drop is false."""
     pairs = stored(with_surface(cosine_pairs(docs, seq, emb, threshold), docs, seq, sig), "pairs")
-    bare = settle(pairs.withColumn("surface", F.lit(None).cast("double")), threshold, surface)
-    return bare.agg(F.count("*").alias("drops")).withColumn("mode", F.lit("cosine")).unionByName(settle(pairs, threshold, surface).agg(F.count("*").alias("drops")).withColumn("mode", F.lit("verified")))
+    x = pairs.select("i", "j", "sim", F.explode(F.array(F.struct(F.lit("cosine").alias("run"), F.lit(None).cast("double").alias("surface")), F.struct(F.lit("verified").alias("run"), "surface"))).alias("r"))
+    gone = _settled(x.select("r.run", "i", "j", "sim", "r.surface"), threshold, surface)
+    n = gone.agg(*(F.count_if(F.col("run") == mode).alias(mode) for mode in ("cosine", "verified")))
+    return n.select(F.explode(F.array(*(F.struct(F.col(mode).alias("drops"), F.lit(mode).alias("mode")) for mode in ("cosine", "verified")))).alias("r")).select("r.*")
 
 
 def mismatches(reference: DataFrame, other: DataFrame, key: str, columns: list[str], limit: int = 10) -> DataFrame:

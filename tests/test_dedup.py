@@ -105,3 +105,51 @@ def test_pairs_are_exact_and_empty_is_empty(spark):
     near = {r["i"]: r["neighbour"] for r in nearest_prior(df, "seq", "emb", block=64).collect()}
     s = np.where(np.tril(np.ones((400, 400)), -1) > 0, u @ u.T, -2)
     assert near == {i: int(s[i].argmax()) for i in range(1, 400)}
+
+
+def test_queries_are_sent_to_blocks_where_angles_exclude_nothing(spark, monkeypatch):
+    """Far vectors and a wide radius: a row is sent as often as there are blocks or copies, not cells."""
+    from grainflow.operators import dedup
+
+    sent = []
+    inner = dedup.per_place
+    monkeypatch.setattr(dedup, "per_place", lambda df, *a, **k: sent.append(df.count()) or inner(df, *a, **k))
+    monkeypatch.setattr(dedup, "SLICE", 100)
+    monkeypatch.setattr(dedup, "MEASURED", 50)
+    monkeypatch.setattr(dedup, "SAMPLE", 1)
+    x = np.random.default_rng(7).normal(size=(600, 64))
+    x[300:] = x[:300] + 0.3 * x[300:]
+    df = spark.createDataFrame([(k, [float(v) for v in e]) for k, e in enumerate(x)], "seq bigint, emb array<float>")
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    want = {(i, j) for i, j in np.argwhere(np.tril(u @ u.T, -1) >= 0.5)}
+    got = [(r["i"], r["j"]) for r in cosine_pairs(df, "seq", "emb", 0.5).collect()]
+    assert len(got) == len(want) >= 300 and set(got) == want
+    assert sent[0] <= 600 * 20
+
+
+def test_runs_of_an_experiment_are_settled_at_once(spark, monkeypatch):
+    from grainflow.operators import evaluation
+
+    calls = []
+    inner = evaluation.settle
+    monkeypatch.setattr(evaluation, "settle", lambda *a, **k: calls.append(1) or inner(*a, **k))
+    rows = [(k, f"d{k}", e, sig, str(k % 15)) for k, _, e, sig, _ in rows_of(4, 60)[:60]]
+    rows = [(k, d, e, sig or [0] * 8, g) for k, d, e, sig, g in rows]
+    df = spark.createDataFrame(rows, SCHEMA)
+
+    def brute_of(verify, threshold, part=lambda r: 0):
+        return sum(len(brute([(r[0], r[1], r[2], r[3] if verify else None, r[4]) for r in rows if part(r) == p], threshold)) for p in {part(r) for r in rows})
+
+    got = evaluation.threshold_sweep(df, "seq", "other", "emb", (0.8, 0.9, 0.999)).collect()
+    assert [(r["threshold"], r["dropped"], r["dups"]) for r in got] == [(t, brute_of(False, t), 45) for t in (0.8, 0.9, 0.999)]
+    got = evaluation.false_drops(df, "seq", "emb", "sig").collect()
+    assert {r["mode"]: r["drops"] for r in got} == {"cosine": brute_of(False, 0.9), "verified": brute_of(True, 0.9)}
+    got = evaluation.recall_by_partitions(df, "seq", "doc_id", "other", "emb", "sig", (1, 2)).collect()
+    import hashlib
+
+    two = lambda r: int(hashlib.md5(r[1].encode()).hexdigest(), 16) % 2
+    band = lambda r: int(hashlib.md5(int(r[3][0]).to_bytes(8, "little")).hexdigest(), 16) % 2
+    want = [("doc_id", 1, brute_of(False, 0.9)), ("doc_id", 2, brute_of(False, 0.9, two)), ("minhash", 1, brute_of(True, 0.9)), ("minhash", 2, brute_of(True, 0.9, band))]
+    assert [(r["route"], r["parts"], r["dropped"]) for r in got] == want
+    assert len(calls) == 3
