@@ -19,8 +19,8 @@ from .text import col
 
 Provider = Callable[[Column], Column]
 
-#: hash buckets of trigrams, weight of an unseen one, labelled texts and languages that are used at most
-BUCKETS, UNSEEN, MAX_LABELLED, MAX_LANGS = 1 << 16, 0.5, 50_000, 64
+#: hash buckets of trigrams, weight of an unseen one, and characters whose trigrams are held at a time
+BUCKETS, UNSEEN, CHARS = 1 << 16, 0.5, 1 << 18
 
 _LETTER: list[np.ndarray] = []
 
@@ -50,6 +50,18 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return doc[2:][inner], h[inner]
 
 
+def _runs(texts: list[str]) -> Iterator[slice]:
+    """Runs of texts of CHARS characters in all, or a single longer one."""
+    lo, n = 0, 0
+    for k, t in enumerate(texts):
+        if n and n + len(t) > CHARS:
+            yield slice(lo, k)
+            lo, n = k, 0
+        n += len(t)
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
 class Profiles(NamedTuple):
     """Languages in ascending order, and the logarithm of each bucket's share by language."""
 
@@ -74,25 +86,29 @@ def plain_lang(c: Column | str) -> Column:
     return F.when(~x.isin("", "und"), x)
 
 
-def fit_profiles(docs: DataFrame, text: str, lang: str, limit: int = MAX_LABELLED) -> Profiles | None:
-    """Profiles from at most `limit` texts (by hash) that are labelled with a language, of at most
-    MAX_LANGS languages, those of most texts; None without labels. Wrong labels do little harm."""
+def fit_profiles(docs: DataFrame, text: str, lang: str) -> Profiles | None:
+    """Profiles from all texts that are labelled with a language; None without labels. Each task counts
+    its own texts and gives a row per language and bucket. Wrong labels do little harm."""
     x = docs.select(F.col(text).alias("text"), plain_lang(lang).alias("lang")).where("length(text) > 0 and lang is not null")
-    x = x.orderBy(F.xxhash64("text"), "text", "lang").limit(limit) if x.count() > limit else x
-    langs = [r["lang"] for r in x.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    if not langs:
-        return None
 
     def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, np.ndarray] = {}
         for b in got:
-            lang = np.array(b.column(1).to_pylist(), object)
-            for k in dict.fromkeys(lang):
-                _, h = trigrams([t for t, m in zip(b.column(0).to_pylist(), lang == k, strict=True) if m])
-                at, n = np.unique(h, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int64))], names=["lang", "bucket", "n"])
-
-    rows = x.where(F.col("lang").isin(langs)).mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    langs = sorted(langs)
+            by: dict[str, list[str]] = {}
+            for t, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                by.setdefault(k, []).append(t)
+            for k, texts in by.items():
+                n = counts.setdefault(k, np.zeros(BUCKETS, np.int64))
+                for part in _runs(texts):
+                    n += np.bincount(trigrams(texts[part])[1], minlength=BUCKETS)
+        for k, n in counts.items():
+            at = np.flatnonzero(n)  # none for texts without letters: they teach no language
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(at), pa.string()), pa.array(at.astype(np.int32)), pa.array(n[at])], names=["lang", "bucket", "n"])
+
+    rows = x.mapInArrow(run, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()  # a row per language and bucket
+    langs = sorted(set(rows["lang"].to_pylist()))
+    if not langs:
+        return None
     n = np.zeros((BUCKETS, len(langs)))
     number = {k: j for j, k in enumerate(langs)}
     n[rows["bucket"].to_numpy(), [number[k] for k in rows["lang"].to_pylist()]] = rows["n"].to_numpy()
@@ -107,9 +123,9 @@ def by_profiles(p: Profiles) -> Provider:
         def lang(s: pd.Series) -> pd.Series:
             out = pd.Series([None] * len(s), dtype=object)
             have = np.flatnonzero(s.notna().to_numpy())
-            for lo in range(0, len(have), 256):
-                part = have[lo : lo + 256]
-                out.iloc[part] = [k for k, _ in p.classify([s.iloc[j] for j in part])]
+            texts = [s.iloc[j] for j in have]
+            for part in _runs(texts):
+                out.iloc[have[part]] = [k for k, _ in p.classify(texts[part])]
             return out
 
         return lang(c)

@@ -122,6 +122,18 @@ def test_languages_are_learnt_from_labels(spark):
     assert fit_profiles(spark.createDataFrame([], "text string, lang string"), "text", "lang") is None
 
 
+def test_all_labelled_texts_and_languages_teach(spark, monkeypatch):
+    from grainflow.functions import langid
+
+    few = [(chr(0x4E00 + k) * 9, f"l{k}") for k in range(70)] + [("12 34", "digits")]
+    many = spark.range(50_010).selectExpr("'the cat sat' AS text", "'en' AS lang")
+    p = fit_profiles(spark.createDataFrame(few, "text string, lang string").unionByName(many), "text", "lang")
+    assert p.langs == tuple(sorted(["en", *(k for _, k in few[:70])]))  # what has no letters teaches nothing
+    assert [k for k, _ in p.classify([t for t, _ in few[:70]])] == [k for _, k in few[:70]]
+    monkeypatch.setattr(langid, "CHARS", 5)
+    assert (fit_profiles(spark.createDataFrame(few, "text string, lang string"), "text", "lang").table == p.table[:, 1:]).all()
+
+
 def test_mean_line_length_counts_as_splitting_does(spark):
     cases = ["", "a", "ab\n", "a\r\nbcd", "\n\n", "a\x0bb\x1cc d\x85e", "a\n\nb\r", "\r\n", "x\u2028yz\n\r"]
     got = frame(spark, *cases).select("text", T.mean_line_length("text").alias("m")).collect()
