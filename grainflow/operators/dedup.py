@@ -11,7 +11,7 @@ and signature are one node, so copies make no pairs among themselves.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import isqrt
 
 import numpy as np
@@ -29,9 +29,9 @@ from .places import SAMPLE, bucket_pairs, per_place
 #: least and most pivots; in between their number grows with the root of the number of vectors
 PIVOTS = (64, 8192)
 #: data rows of a block at most (fewer of long vectors: so many numbers), and queries that it answers; more are split
-SLICE, NUMBERS, QUERIES = 16_384, 1 << 22, 65_536
+SLICE, NUMBERS, QUERIES = 24_576, 6 << 20, 65_536
 #: rows that are routed, and pairs that are measured, at a time: what a task holds depends on neither
-ROUTED, MEASURED = 512, 8192
+ROUTED, MEASURED = 512, 2048
 #: of a block's cells, the share that queries must see from which they are compared with all of it at once
 WHOLE = 0.3
 #: bands of two minima of a signature: of pairs with half of 128 minima equal they miss 1e-6
@@ -256,7 +256,7 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
         part, g = of[t["place"][0].as_py()]
         lo, hi = (*begin[part], len(v))[g : g + 2]
         raw = _floats(t["v"], dim, kind)
-        e = _unit(raw).astype(np.float32)
+        e = np.concatenate([_unit(raw[k : k + ROUTED]).astype(np.float32) for k in range(0, len(raw), ROUTED)])
         cell = np.concatenate([_angles(e[k : k + ROUTED], v[lo:hi]).argmin(1) for k in range(0, len(e), ROUTED)])
         by = np.argsort(cell, kind="stable")
         raw, e, cell = raw[by], e[by], cell[by]
@@ -266,7 +266,7 @@ def _near(x: DataFrame, kind: str, least: float, asks: DataFrame | None = None,
 
     def ask(index: tuple, b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ds, raw, e, pivot, radius, ends = index
-        step = max(1, NUMBERS // len(e))
+        step = max(1, NUMBERS // 2 // len(e))
         for lo in range(0, b.num_rows, step):
             t = b.slice(lo, step)
             own, floor = _floats(t.column(3), dim, kind), t.column(4).to_numpy()
@@ -314,24 +314,35 @@ def with_surface(pairs: DataFrame, df: DataFrame, seq: str, sig: str | None) ->
     return x.select("i", "j", "sim", jaccard_estimate("s_i", "s_j").alias("surface"))
 
 
-def _measured(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
-    """pairs (i, j) with sim and surface (null if either has no signature), from the nodes' v and s."""
+def _compared(pairs: DataFrame, nodes: DataFrame, column: str, name: str, f: Callable[[bytes, bytes], float | None]) -> DataFrame:
+    """pairs (i, j, ...) with f of the nodes' column at both ends; null if either is null."""
     seq = nodes.schema["seq"].dataType.simpleString()
-    x = pairs.select("i", "j")
+    x = pairs
     for end in ("i", "j"):
-        x = x.join(nodes.select(F.col("seq").alias(end), F.col("v").alias(f"v_{end}"), F.col("s").alias(f"s_{end}")), end)
+        x = x.join(nodes.select(F.col("seq").alias(end), F.col(column).alias(f"_{end}")), end)
+    x = x.select(*pairs.columns, "_i", "_j")
 
     def run(got: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in got:
-            cols = {c: b.column(b.schema.get_field_index(c)).to_pylist() for c in ("v_i", "v_j", "s_i", "s_j")}
-            sims, same = [], []
-            for vi, vj, si, sj in zip(*cols.values(), strict=True):
-                x, y = np.frombuffer(vi, kind).astype(np.float64), np.frombuffer(vj, kind).astype(np.float64)
-                sims.append(round(float(np.einsum("i,i->", x / np.linalg.norm(x), y / np.linalg.norm(y))), 12) if len(x) == len(y) else None)
-                same.append(None if si is None or sj is None else float((np.frombuffer(si, "<u4") == np.frombuffer(sj, "<u4")).mean()))
-            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("i")), b.column(b.schema.get_field_index("j")), pa.array(sims, pa.float64()), pa.array(same, pa.float64())], names=["i", "j", "sim", "surface"])
+            out = [None if u is None or w is None else f(u, w) for u, w in zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], pa.array(out, pa.float64())], names=[*b.schema.names[:-2], name])
 
-    return x.mapInArrow(run, f"i {seq}, j {seq}, sim double, surface double")
+    return x.mapInArrow(run, ", ".join(f"{c.name} {seq if c.name in 'ij' else c.dataType.simpleString()}" for c in pairs.schema) + f", {name} double")
+
+
+def _with_sim(pairs: DataFrame, nodes: DataFrame, kind: str) -> DataFrame:
+    """pairs with sim; null for vectors of different lengths."""
+
+    def sim(u: bytes, w: bytes) -> float | None:
+        x, y = np.frombuffer(u, kind).astype(np.float64), np.frombuffer(w, kind).astype(np.float64)
+        return round(float(np.einsum("i,i->", x / np.linalg.norm(x), y / np.linalg.norm(y))), 12) if len(x) == len(y) else None
+
+    return _compared(pairs, nodes, "v", "sim", sim)
+
+
+def _with_surface(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """pairs with surface; null if either end has no signature."""
+    return _compared(pairs, nodes, "s", "surface", lambda u, w: float((np.frombuffer(u, "<u4") == np.frombuffer(w, "<u4")).mean()))
 
 
 def settle(pairs: DataFrame, threshold: float = DEFAULT.dedup_cosine_threshold, surface: float = DEFAULT.dedup_surface_threshold) -> DataFrame:
@@ -379,13 +390,16 @@ def rejected(df: DataFrame, seq: str, emb: str, sig: str | None = None, part: st
     else:
         bands = nodes.select("seq", "part", F.explode("bands").alias("band"))
         cand = bucket_pairs(bands, ["part", "band"], "seq").distinct().select(F.col("b").alias("i"), F.col("a").alias("j"))
-        kill = stored(_measured(cand, nodes, kind).where((F.col("sim") >= threshold) & (F.col("surface") >= surface)).select("i", "j", "sim"), "kill")
-        # in doubt: both ends, as a copy of the earlier may come after the later; copies; and what has no signature
-        asks = kill.select(F.explode(F.array("i", "j")).alias("seq"), F.col("sim").alias("least")).unionByName(copied.select(F.col("first").alias("seq"), F.lit(1.0).alias("least")))
+        # signatures first: they are shorter than vectors, and few pairs of a band have enough in common
+        alike = stored(_with_surface(cand, nodes).where(F.col("surface") >= surface).select("i", "j"), "alike")
+        kill = stored(_with_sim(alike, nodes, kind).where(F.col("sim") >= threshold), "kill")
+        # in doubt: the later ends; the earlier ones that have copies, which may come after the later; copies; and what has no signature
+        asks = kill.select(F.col("i").alias("seq"), F.col("sim").alias("least")).unionByName(kill.join(copied.select(F.col("first").alias("j")), "j", "left_semi").select(F.col("j").alias("seq"), F.col("sim").alias("least")))
+        asks = asks.unionByName(copied.select(F.col("first").alias("seq"), F.lit(1.0).alias("least")))
         asks = asks.unionByName(nodes.where("s is null").select("seq", F.lit(float(threshold)).alias("least")))
         near = _near(nodes, kind, threshold, stored(asks.groupBy("seq").agg((F.min("least") - SLACK).alias("least")), "asks"))
     near = stored(near.where(F.col("sim") >= threshold), "near")
-    pairs = stored(_measured(near, nodes, kind), "measured") if sig is not None else near.withColumn("surface", F.lit(None).cast("double"))
+    pairs = stored(_with_surface(near, nodes), "measured") if sig is not None else near.withColumn("surface", F.lit(None).cast("double"))
     if not any_["n"]:
         return settle(pairs, threshold, surface)
     # between nodes, in both directions, and within a node of several rows

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, CurationConfig
 from ..functions.langid import Provider
+from ..functions.text import cache_key
 from ..session import stored
-from .dedup import online_dedup
+from .dedup import rejected
 from .embedding import Provider as Embedder
-from .embedding import embedded, hashing_provider
+from .embedding import embed, hashing_provider
 from .heuristics import with_reason
 from .quality import QualityModel, with_quality
 
@@ -41,27 +44,38 @@ def curate(
     sig: str | None = None,
     part: str | None = None,
     embedder: Embedder = hashing_provider,
+    signer: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """seq and the terminal state of each document of docs (seq unique, id, text; sig and part if named).
 
     vectors: id, emb, one row per id, what is embedded already; what passes the heuristics and has no
     vector is embedded by the embedder, each text once. The cheap stages come first, and texts are
-    read again only for what must be embedded. Null pattern: quality_score only for quality rejects and
-    kept documents, dedup_similarity only for near-duplicates, embed_dim for kept documents.
+    read again only for what must be embedded. Instead of sig, a signer makes the signatures from the
+    texts that pass the heuristics. Vectors and signatures only move where they are needed. Null
+    pattern: quality_score only for quality rejects and kept documents, dedup_similarity only for
+    near-duplicates, embed_dim for kept documents.
     """
     extra = [c for c in (sig, part) if c]
-    scan = docs.select(*dict.fromkeys(["seq", "id", "text", *extra]))
-    staged = stored(with_reason(scan, "text", cfg, provider).withColumn("chars", F.length("text")).drop("text"), "heuristic")
-    x = staged.where("reason is null").drop("reason")
+    x = with_reason(docs.select(*dict.fromkeys(["seq", "id", "text", *extra])), "text", cfg, provider)
+    passes = F.col("reason").isNull()
+    x = x.withColumn("chars", F.length("text")).withColumn("key", F.when(passes, cache_key("text", cfg.embed_dim)))
+    if signer:
+        sig, extra = "_sig", ["_sig", *extra]
+        x = x.withColumn(sig, signer(F.when(passes, F.col("text"))))
+    staged = stored(x.select("seq", "id", "reason", "chars", "key", *(F.when(passes, F.col(c)).alias(c) for c in extra)), "heuristic")
+    x = staged.where("reason is null").select("seq", "id", "key")
     known = vectors.select("id", F.col("emb").cast("array<float>").alias("emb"))
-    misses = x.join(known.select("id"), "id", "left_anti").join(docs.select("seq", "text"), "seq")
-    none = docs.sparkSession.createDataFrame([], "key string, embedding array<float>")
-    fresh, _ = embedded(misses, "text", none, embedder, cfg.embed_dim)
-    have = x.join(known, "id").unionByName(fresh.drop("text").withColumnRenamed("embedding", "emb"))
-    scored = stored(with_quality(have, "emb", model), "scored")
-    low = scored.where("low_quality")
-    done = online_dedup(scored.where("not low_quality"), "seq", "emb", sig, part, cfg.dedup_cosine_threshold, cfg.dedup_surface_threshold)
-    gone, kept = done.where("dedup_similarity is not null"), done.where("dedup_similarity is null")
+    misses = stored(x.join(known.select("id"), "id", "left_anti").select("seq", "key"), "misses")
+    texts = misses.groupBy("key").agg(F.min("seq").alias("seq")).join(docs.select("seq", "text"), "seq")
+    fresh = embed(texts, "text", embedder, cfg.embed_dim).select("key", F.col("embedding").alias("emb"))
+    have = x.join(known, "id").select("seq", "emb").unionByName(misses.join(fresh, "key").select("seq", "emb"))
+    scored = with_quality(have, "emb", model)
+    scored = stored(scored.withColumn("emb", F.when(~F.col("low_quality"), F.col("emb"))), "scored")
+    good = scored.where("not low_quality").select("seq", "emb")
+    gone = rejected(good.join(staged.select("seq", *extra), "seq") if extra else good, "seq", "emb", sig, part, cfg.dedup_cosine_threshold, cfg.dedup_surface_threshold)
+    ended = scored.drop("emb").join(staged.select("seq", "id", "chars"), "seq").join(gone.withColumnRenamed("i", "seq"), "seq", "left")
+    low, good = ended.where("low_quality"), ended.where("not low_quality")
+    gone, kept = good.where("dedup_similarity is not null"), good.where("dedup_similarity is null")
     q = F.col("quality_score")
     return (
         _result(staged.where("reason is not null"), "reject", "heuristic", F.col("reason"))

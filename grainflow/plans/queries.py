@@ -351,8 +351,8 @@ def d5_partition_dedup(spark, d):  # noqa: ANN001, ANN201
 
 def curated(spark: SparkSession, d: str) -> DataFrame:
     """Every row of raw_docs through the whole funnel; what has no vector is embedded."""
-    docs = with_signature(raw(spark, d).select("seq", "id", "text"))
-    got = curate(docs, vectors(spark, d), rule_model(DIM), CurationConfig(embed_dim=DIM), by_profiles(told(spark, d)), "sig")
+    docs = raw(spark, d).select("seq", "id", "text")
+    got = curate(docs, vectors(spark, d), rule_model(DIM), CurationConfig(embed_dim=DIM), by_profiles(told(spark, d)), signer=text_signature)
     return stored(got.withColumn("quality_score", F.round("quality_score", 6)).withColumn("dedup_similarity", F.round("dedup_similarity", 4)), "curated")
 
 
@@ -708,7 +708,8 @@ def u_3_same_decisions(spark, d):  # noqa: ANN001, ANN201
 
 
 def _stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return readers.file_documents(spark, d, table(spark, d, name).schema, only=f"{name}.parquet")
+    # a pattern that only this name matches: a stream takes it for a file as well as for a folder of files
+    return readers.file_documents(spark, f"{d}/{name}.parque[t]", table(spark, d, name).schema)
 
 
 @query("SELECT stage, reason, count(*) AS rows FROM stage_results GROUP BY 1, 2")
