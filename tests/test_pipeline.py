@@ -164,6 +164,18 @@ def test_streams(spark, tmp_path):
 SIGNED = "part int, seq bigint, id string, emb array<float>, sig array<bigint>"
 
 
+def test_streams_read_a_table_of_one_file_or_a_folder(spark, tmp_path):
+    from grainflow.plans.queries import queries
+
+    rows = [(f"d{k}", "text", 0.5, None if k % 2 else "s") for k in range(20)]
+    clean = spark.createDataFrame(rows, "id string, text string, quality_score double, source string")
+    clean.repartition(3).write.parquet(f"{tmp_path}/folder/clean_docs.parquet")
+    clean.repartition(2).write.parquet(f"{tmp_path}/folder/clean_docs2.parquet")  # another table
+    clean.toPandas().to_parquet(f"{tmp_path}/clean_docs.parquet")
+    for d in (f"{tmp_path}/folder", str(tmp_path)):
+        assert sorted(map(str, queries()["x5_kept_stream"](spark, d).collect())) == sorted(map(str, clean.collect()))
+
+
 def test_stream_dedup_with_and_without_signatures_over_batches_and_a_restart(spark, tmp_path):
     """One mark per kept row, null allowed: the same state whatever the order of rows with and without."""
     from grainflow.streaming import curation
