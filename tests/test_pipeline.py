@@ -176,6 +176,19 @@ def test_streams_read_a_table_of_one_file_or_a_folder(spark, tmp_path):
         assert sorted(map(str, queries()["x5_kept_stream"](spark, d).collect())) == sorted(map(str, clean.collect()))
 
 
+def test_signer_signs_what_passes(spark):
+    """The funnel's own signatures decide as given ones do, and texts that fail the rules get none."""
+    from grainflow.functions.minhash import text_signature
+
+    good = "The keeper of the house said that it was a good day and that the others had not been there before. "
+    docs = [(k, f"d{k % 9}", good * (3 + k % 4) if k % 5 else "short", "s") for k in range(24)]
+    d = spark.createDataFrame(docs, "seq bigint, id string, text string, source string")
+    v = spark.createDataFrame([("d1", [1.0, 0.0]), ("d2", [0.999, 0.01])], "id string, emb array<float>")
+    given = curate(d.withColumn("sig", text_signature("text")), v, None, CurationConfig(embed_dim=2), sig="sig").collect()
+    own = curate(d, v, None, CurationConfig(embed_dim=2), signer=text_signature).collect()
+    assert sorted(map(str, own)) == sorted(map(str, given)) and len(own) == 24
+
+
 def test_stream_dedup_with_and_without_signatures_over_batches_and_a_restart(spark, tmp_path):
     """One mark per kept row, null allowed: the same state whatever the order of rows with and without."""
     from grainflow.streaming import curation
